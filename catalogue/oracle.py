@@ -287,7 +287,7 @@ counted AS (
 )
 SELECT bin, round(low + bin * (high - low) / 40, 6) AS bin_low, round(low + (bin + 1) * (high - low) / 40, 6) AS bin_high,
        coalesce(n, 0) AS count
-FROM (SELECT unnest(range(0, 40)) AS bin), edges LEFT JOIN counted USING (bin)"""
+FROM (SELECT unnest(range(0, 40)) AS bin) LEFT JOIN counted USING (bin) CROSS JOIN edges"""
 
 
 def _with(*ctes: str) -> str:

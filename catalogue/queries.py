@@ -244,7 +244,7 @@ def clean_arrays(spark, sf_dir):
     return raw(spark, sf_dir).select(
         "scraped_at",
         _joined(text.clean_array(text.text_items(F.col("mentions")), "@"), "mentions"),
-        _joined(text.clean_array(text.text_items(F.col("hashtags")), "#", fold=True), "hashtags"),
+        _joined(text.clean_array(text.text_items(F.col("hashtags")), "#", folded=True), "hashtags"),
     )
 
 

@@ -18,19 +18,24 @@ WORD = r"[\p{L}\p{N}_]"
 
 
 def _icu(class_name: str, method: str, c: Column) -> Column:
-    call = F.reflect(F.lit(f"com.ibm.icu.{class_name}"), F.lit(method), c, F.lit(True))
-    return F.when(c.isNotNull(), call)
+    return F.reflect(F.lit(f"com.ibm.icu.{class_name}"), F.lit(method), c, F.lit(True))
 
 
 def nfkc(c: Column) -> Column:
+    """Compatibility composition of a text that is not null."""
     return _icu("text.Normalizer", "compose", c)
 
 
-def casefold(c: Column) -> Column:
-    """Full Unicode case folding: sharp s becomes ``ss``, final sigma becomes sigma."""
+def fold(c: Column) -> Column:
+    """Full Unicode case folding of a text that is not null: sharp s becomes ``ss``, final sigma sigma."""
     return _icu("lang.UCharacter", "foldCase", c)
 
 
+def casefold(c: Column) -> Column:
+    """`fold`, null for null."""
+    return F.when(c.isNotNull(), fold(c))
+
+
 def normalize_text(c: Column) -> Column:
     """Null becomes empty; NFKC, control characters out, whitespace runs to one space, ends trimmed."""
     composed = nfkc(F.coalesce(c.cast("string"), F.lit("")))
@@ -50,12 +55,12 @@ def text_items(c: Column) -> Column:
     return F.filter(items, lambda x: x.isNotNull() & (x != ""))
 
 
-def clean_array(items: Column, prefix: str, fold: bool = False) -> Column:
+def clean_array(items: Column, prefix: str, folded: bool = False) -> Column:
     """Normalise each item and strip its prefix; items that become empty are kept."""
 
     def clean(x: Column) -> Column:
         bare = strip_prefix(normalize_text(x), prefix)
-        return casefold(bare) if fold else bare
+        return fold(bare) if folded else bare
 
     return F.transform(items, clean)
 

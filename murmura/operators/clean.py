@@ -21,7 +21,7 @@ def _items(raw: DataFrame, name: str):
 
 def _clean_fields(raw: DataFrame) -> DataFrame:
     """Everything but the folded text, which `with_folded_text` can always derive again."""
-    folded = text.casefold(F.col("content"))
+    folded = text.fold(F.col("content"))
     return raw.select(
         F.col("tweet_id").cast("string").alias("tweet_id"),
         text.strip_prefix(text.normalize_text(F.col("username")), "@").alias("username"),
@@ -29,8 +29,8 @@ def _clean_fields(raw: DataFrame) -> DataFrame:
         text.normalize_text(F.col("content")).alias("content"),
         *[fields.int_or_zero(F.col(c)).alias(c) for c in COUNTS],
         text.clean_array(_items(raw, "mentions"), "@").alias("mentions"),
-        text.clean_array(_items(raw, "hashtags"), "#", fold=True).alias("hashtags"),
-        text.casefold(text.normalize_text(F.col("query_tag"))).alias("query_tag"),
+        text.clean_array(_items(raw, "hashtags"), "#", folded=True).alias("hashtags"),
+        text.fold(text.normalize_text(F.col("query_tag"))).alias("query_tag"),
         "permalink",
         "scraped_at",
     ).select(
@@ -41,7 +41,7 @@ def _clean_fields(raw: DataFrame) -> DataFrame:
 
 
 def with_folded_text(posts: DataFrame) -> DataFrame:
-    return posts.withColumn("content_norm", text.casefold(F.col("content"))).select(*CLEAN_COLUMNS)
+    return posts.withColumn("content_norm", text.fold(F.col("content"))).select(*CLEAN_COLUMNS)
 
 
 def count_bad_numbers(raw: DataFrame, observation: Observation) -> DataFrame:
