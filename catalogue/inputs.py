@@ -27,7 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One post per event, with the whole text of a document."""
+    """One post per event, with the whole text of a document.
+
+    The tables are single files, so the join shuffles them to give the later steps several tasks.
+    """
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     events = table(spark, sf_dir, "events")
     count = documents.agg(F.count("*")).scalar()
@@ -41,7 +44,7 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
             value.alias("value"),
             ((F.col("event_id") * 7) % count).alias("doc_id"),
         )
-        .join(documents, "doc_id")
+        .join(documents.hint("merge"), "doc_id")
         .withColumn(
             "tags",
             F.when(

@@ -387,8 +387,9 @@ def oracle() -> dict[str, str]:
         "ngrams": terms
         + "SELECT tweet_id, len(t) + len(g) AS n, md5(array_to_string(list_concat(t, g), '|')) AS ngrams FROM grams",
         "term_counts": terms
-        + """SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, max(tf) AS max_tf
-             FROM term_counts GROUP BY term HAVING count(*) > 1""",
+        + """SELECT tweet_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS occurrences, max(tf) AS max_tf,
+                    min(term) AS first_term, max(term) AS last_term, arg_max(term, (tf, term)) AS top_term
+             FROM term_counts GROUP BY tweet_id""",
         "vocabulary": vocabulary + "SELECT term, df, cf, round(idf, 6) AS idf FROM vocabulary",
         "tfidf_weights": vocabulary
         + """SELECT term, count(*) AS posts, CAST(sum(tf) AS BIGINT) AS tf, round(sum(w / norm), 6) AS weight,

@@ -350,13 +350,19 @@ def ngrams(spark, sf_dir):
 
 
 def term_counts(spark, sf_dir):
-    """Counts per post and term, then the profile of each term found in several posts."""
+    """Counts per post and term, then the profile of each post."""
     docs = tfidf.with_ngrams(posts(spark, sf_dir).select("tweet_id", "content_norm"), "content_norm", 1, 2)
     return (
         tfidf.term_counts(docs, "tweet_id", "_terms")
-        .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max("tf").alias("max_tf"))
-        .filter(F.col("df") > 1)
+        .groupBy("tweet_id")
+        .agg(
+            F.count("*").alias("terms"),
+            F.sum("tf").alias("occurrences"),
+            F.max("tf").alias("max_tf"),
+            F.min("term").alias("first_term"),
+            F.max("term").alias("last_term"),
+            F.max_by("term", F.struct("tf", "term")).alias("top_term"),
+        )
     )
 
 

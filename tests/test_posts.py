@@ -1,0 +1,124 @@
+"""Extraction, cleaning, duplicates, lookback."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from murmura.operators import clean, dedupe, extract, lookback
+from murmura.schemas import CAPTURE, CLEAN_COLUMNS, RAW_TEXT
+
+FIELDS = [f.split()[0] for f in RAW_TEXT.replace("\n", " ").split(",")]
+
+
+def raw(spark, rows):
+    base = dict.fromkeys(FIELDS)
+    return spark.createDataFrame([tuple({**base, **r}[f] for f in FIELDS) for r in rows], RAW_TEXT)
+
+
+def post(i, ts, content, **more):
+    return {"tweet_id": i, "timestamp": ts, "content": content, **more}
+
+
+def test_clean_rows(spark):
+    rows = [post("1", "2026-01-01T00:00:00Z", " A\tB ", username="@@Me", replies="1", retweets="2.9", likes="x", mentions='["@a"]', hashtags="#Tag", query_tag=" Nifty50 ")]
+    observation = Observation("numbers")
+    got = clean.clean_rows(clean.count_bad_numbers(raw(spark, rows), observation))
+    assert got.columns == CLEAN_COLUMNS
+    r = got.first()
+    assert (r.username, r.content, r.content_norm, r.query_tag) == ("Me", "A B", "a b", "nifty50")
+    assert (r.replies, r.retweets, r.likes, r.views, r.engagement) == (1, 2, 0, 0, 3)
+    assert (r.mentions, r.hashtags) == (["a"], ["tag"])
+    assert observation.get["bad_likes"] == 1 and observation.get["bad_replies"] == 0
+
+
+def test_invalid_rows_are_dropped(spark):
+    rows = [post("", "2026-01-01", "a"), post(None, "2026-01-01", "b"), post("1", "x", "c"), post("2", "2026-01-01", "d")]
+    assert [r.tweet_id for r in clean.clean_and_dedupe(raw(spark, rows)).collect()] == ["2"]
+    assert [r.tweet_id for r in clean.drop_invalid(clean.clean_rows(raw(spark, rows))).collect()] == ["2"]
+
+
+def test_dedupe_order(spark):
+    rows = [
+        post("1", "2026-01-01T01:00:00Z", "old text"),
+        post("1", "2026-01-01T02:00:00Z", "New"),
+        post("2", "2026-01-01T01:30:00Z", "old text"),
+        post("3", "2026-01-01T03:00:00Z", "NEW"),
+        post("4", "2026-01-01T01:00:00Z", ""),
+        post("5", "2026-01-01T02:00:00Z", None),
+    ]
+    got = clean.clean_and_dedupe(raw(spark, rows))
+    # the version of id 1 that survives competes for its text, so "old text" stays with id 2
+    assert sorted(r.tweet_id for r in got.collect()) == ["2", "3", "5"]
+
+
+def test_hot_keys_shrink_before_the_shuffle(spark):
+    """A third of the rows share one id and a third share one text."""
+    n = 30_000
+    rows = spark.range(n, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("tweet_id"),
+        F.timestamp_seconds(F.col("id")).cast("string").alias("timestamp"),
+        F.when(F.col("id") % 3 == 1, "same text").otherwise(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("content"),
+        *[F.lit(None).cast("string").alias(f) for f in FIELDS if f not in ("tweet_id", "timestamp", "content")],
+    )
+    got = clean.clean_and_dedupe(rows)
+    assert got.count() == n // 3 + 1 + 1
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Partial") >= 2 and "WindowGroupLimit" in plan and "Cartesian" not in plan
+
+
+def test_new_posts(spark):
+    rows = [post("1", None, "a", scraped_at="1"), post("2", None, "b", scraped_at="2"), post("2", None, "c", scraped_at="1"), post("", None, "d")]
+    stored = raw(spark, [post("1", None, "z"), post("1", None, "z")])
+    got = dedupe.new_posts(raw(spark, rows), stored).collect()
+    assert [(r.tweet_id, r.content) for r in got] == [("2", "c")]
+    assert dedupe.new_posts(raw(spark, rows), stored.limit(0)).count() == 2
+
+
+def times(spark, hours_ago, as_of):
+    rows = [(str(i), as_of - timedelta(hours=h)) for i, h in enumerate(hours_ago)]
+    return spark.createDataFrame(rows, "tweet_id string, timestamp timestamp")
+
+
+def test_lookback(spark):
+    as_of = datetime(2026, 1, 10)
+    df = times(spark, [1, 20, 30, 35, 40, 100, 200], as_of)
+    assert lookback.widening_lookback(df, as_of, target=2).count() == 2
+    assert lookback.widening_lookback(df, as_of, target=4).count() == 4
+    assert lookback.widening_lookback(df, as_of, target=5).count() == 5
+    assert lookback.widening_lookback(df, as_of, target=6).count() == 7
+    assert lookback.fixed_lookback(df, "2026-01-10 00:00:00", 24).count() == 2
+    assert [r.tweet_id for r in lookback.latest(df, 2).collect()] == ["0", "1"]
+
+
+def test_lookback_prunes_both_scans(spark, tmp_path):
+    as_of = datetime(2026, 1, 10)
+    path = str(tmp_path / "t")
+    times(spark, [1, 20], as_of).write.parquet(path)
+    plan = lookback.widening_lookback(spark.read.parquet(path), as_of, target=1)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp,2026-01-07" in plan and "Subquery" in plan and "NestedLoop" not in plan
+
+
+def test_take_target(spark):
+    rows = [post(str(i % 5), None, str(i), scraped_at=f"{i:03d}") for i in range(20)]
+    assert [(r.tweet_id, r.content) for r in lookback.take_target(raw(spark, rows), 3).collect()] == [("0", "0"), ("1", "1"), ("2", "2")]
+
+
+def test_extraction(spark):
+    row = ("https://e.org/a/status/9/", "2026-01-01T00:00:00Z", "N\n@a", "hi #X #y @b", "1", "2K", "", None, "mixed", "s")
+    names = [f.split()[0] for f in CAPTURE.replace("\n", " ").split(",")]
+    bad = [(None, *row[1:]), (row[0], None, *row[2:]), ("https://e.org/a", *row[1:])]
+    got = extract.extract_posts(spark.createDataFrame([row, *bad], CAPTURE)).collect()
+    assert len(names) == 10 and len(got) == 1
+    r = got[0]
+    assert (r.tweet_id, r.username, r.replies, r.retweets, r.likes, r.views) == ("9", "a", 1, 2000, 0, 0)
+    assert (r.mentions, r.hashtags) == (["b"], ["x", "y"])
+
+
+@pytest.mark.parametrize("tags,expected", [(["x"], "x"), (["x", "y"], "mixed"), (["z"], "")])
+def test_topics(spark, tags, expected):
+    df = spark.createDataFrame([("1", datetime(2026, 1, 9, 1), ["x", "y"]), ("2", datetime(2026, 1, 8), ["q"])], "tweet_id string, timestamp timestamp, hashtags array<string>")
+    assert extract.assign_topic(df, tags).filter("tweet_id = '1'").first().query_tag == expected
+    kept = extract.topic_filter(df, tags, "2026-01-10 12:00:00").count()
+    assert kept == (0 if expected == "" else 1)
