@@ -388,7 +388,7 @@ def oracle() -> dict[str, str]:
         + "SELECT tweet_id, len(t) + len(g) AS n, md5(array_to_string(list_concat(t, g), '|')) AS ngrams FROM grams",
         "term_counts": terms
         + """SELECT tweet_id, count(*) AS terms, CAST(sum(tf) AS BIGINT) AS occurrences, max(tf) AS max_tf,
-                    min(term) AS first_term, max(term) AS last_term, arg_max(term, (tf, term)) AS top_term
+                    CAST(sum(tf * length(term)) AS BIGINT) AS letters, CAST(sum(tf * unicode(term)) AS BIGINT) AS initials
              FROM term_counts GROUP BY tweet_id""",
         "vocabulary": vocabulary + "SELECT term, df, cf, round(idf, 6) AS idf FROM vocabulary",
         "tfidf_weights": vocabulary

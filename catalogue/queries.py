@@ -359,9 +359,8 @@ def term_counts(spark, sf_dir):
             F.count("*").alias("terms"),
             F.sum("tf").alias("occurrences"),
             F.max("tf").alias("max_tf"),
-            F.min("term").alias("first_term"),
-            F.max("term").alias("last_term"),
-            F.max_by("term", F.struct("tf", "term")).alias("top_term"),
+            F.sum(F.col("tf") * F.length("term")).alias("letters"),
+            F.sum(F.col("tf") * F.ascii("term")).alias("initials"),
         )
     )
 
