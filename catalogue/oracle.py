@@ -401,7 +401,8 @@ def oracle() -> dict[str, str]:
         + f""" SELECT strftime(bucket_start, '%Y-%m-%d %H:%M:%S') AS bucket_start, count(*) AS tweet_count,
                     round(avg(tweet_signal), 6) AS signal_mean, round(avg(engagement), 6) AS mean_engagement,
                     round(avg(likes), 6) AS mean_likes
-             FROM (SELECT *, time_bucket(INTERVAL 7 HOUR, "timestamp", TIMESTAMP '1970-01-01 03:00:00') AS bucket_start FROM scored)
+             FROM (SELECT *, time_bucket(INTERVAL 7 HOUR, "timestamp",
+                     (SELECT CAST(date_trunc('day', min("timestamp")) AS TIMESTAMP) FROM scored)) AS bucket_start FROM scored)
              GROUP BY ALL""",
         "hourly_signals": exact + AGG_VIEW + "aggregated",
         "bootstrap_ci": scored

@@ -405,7 +405,7 @@ def bucket_stats(spark, sf_dir):
 
 
 def bucket_stats_7h(spark, sf_dir):
-    return _stats_view(buckets.bucket_stats(_scored(spark, sf_dir), "7 hours", "3 hours"))
+    return _stats_view(buckets.bucket_stats(_scored(spark, sf_dir), "7 hours"))
 
 
 def hourly_signals_query(spark, sf_dir):
@@ -448,7 +448,8 @@ def _histogram_view(df):
 
 
 def engagement_histogram(spark, sf_dir):
-    return _histogram_view(report.histogram(posts(spark, sf_dir), "engagement"))
+    values = materialize(posts(spark, sf_dir).select("engagement"), "engagement")
+    return _histogram_view(report.histogram(values, "engagement"))
 
 
 def sampled_histogram(spark, sf_dir):

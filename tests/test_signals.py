@@ -136,6 +136,13 @@ def test_bucket_edges(spark):
     assert [(r.bucket_start.hour, r.tweet_count) for r in got] == [(10, 2), (12, 1)]
 
 
+def test_uneven_buckets_start_with_the_first_day(spark):
+    times = ["2026-01-01 05:00:00", "2026-01-01 07:00:00", "2026-01-02 03:30:00", "2026-01-02 05:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("timestamp"))
+    got = [str(r.bucket_start) for r in buckets.with_bucket(df, "7 hours").orderBy("timestamp").collect()]
+    assert got == ["2026-01-01 00:00:00", "2026-01-01 07:00:00", "2026-01-01 21:00:00", "2026-01-02 04:00:00"]
+
+
 @pytest.mark.parametrize("method", [buckets.bootstrap_ci, buckets.bootstrap_ci_exact])
 def test_bootstrap_intervals(spark, method):
     df = signals(spark, [1, 80, 400, 3000])
