@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,15 +28,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from murmura.llm.bpe import vocabulary_text
+from murmura.llm.bpe import byte_alphabet, piece_pattern, vocabulary_text
 from murmura.llm.common import stored, whole
 from murmura.storage import scratch_path
 
 END_ID = 0
 HEAD = struct.Struct("<QI")
 PAYLOAD = struct.Struct("<BqB")
-#: Entries of a worker's memo of encoded units; it is emptied when full.
-MEMO = 1_000_000
+#: Entries of a worker's memos of encoded units and pieces; a full one is emptied.
+MEMO = 600_000
 
 INDEX = "file string, doc_id long, position long, size long, n_tokens long, before long, ids_crc32 long"
 
@@ -75,8 +76,9 @@ class LibraryEncoder:
     """The tokenizers library, asked once for each different unit of a worker's texts.
 
     A unit starts at a blank that comes right before something other than a blank; no token spans
-    that place, so the ids of a text are those of its units one after another. Texts that hold a special
-    string go to the library whole.
+    that place, so the ids of a text are those of its units one after another. The unit is cut into the
+    pieces that merges never cross and the library's model merges each. Texts that hold a special string
+    go to the library whole.
     """
 
     def __init__(self, spec: str):
@@ -86,11 +88,28 @@ class LibraryEncoder:
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.inner = re.compile(r" (?=\s|$)")
+        self.pattern = piece_pattern()
+        self.alphabet = {b: c for c, b in byte_alphabet().items()}
         self.memo: dict[str, bytes] = {}
-
-    def _ask(self, texts: list[str]) -> list[bytes]:
-        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+        self.pieces: dict[str, bytes] = {}
+
+    def _ask(self, text: str) -> bytes:
+        """The library's ids of a whole text."""
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _unit(self, unit: str) -> bytes:
+        """Ids of a unit: the library's merges, asked once for each different piece of it."""
+        memo, out = self.pieces, []
+        for piece in self.pattern.findall(unit):
+            ids = memo.get(piece)
+            if ids is None:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                spelled = piece.encode().decode("latin-1").translate(self.alphabet)
+                ids = memo[piece] = array("I", [t.id for t in self.library.model.tokenize(spelled)]).tobytes()
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, four bytes each."""
@@ -106,10 +125,10 @@ class LibraryEncoder:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        new = list({u for units in split if units for u in units if u not in memo})
-        memo.update(zip(new, self._ask(new)))
+        for unit in {u for units in split if units for u in units if u not in memo}:
+            memo[unit] = self._unit(unit)
         return [
-            self._ask([text])[0] if units is None else b"".join([memo[u] for u in units])
+            self._ask(text) if units is None else b"".join([memo[u] for u in units])
             for text, units in zip(texts, split)
         ]
 
