@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from murmura.llm import bpe, lines, mixing, quality, records, simhash, toxicity
+from murmura.llm import bpe, lines, mixing, outliers, quality, records, secrets, simhash, spots, toxicity
 from murmura.llm.common import documents, labels
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents(spark, sf_dir), VOCABULARY)
 
 
+def op4_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judged(documents(spark, sf_dir))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(documents(spark, sf_dir))
 
@@ -35,6 +43,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.fit(docs, labels(spark, sf_dir)))
 
 
+def op8_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.compared(documents(spark, sf_dir))
+
+
 def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.written_and_read(documents(spark, sf_dir), VOCABULARY)
 
@@ -47,8 +59,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
+    "op4_outliers": op4_outliers,
+    "op5_secrets": op5_secrets,
     "op6_mixing": op6_mixing,
     "op7_quality": op7_quality,
+    "op8_spots": op8_spots,
     "op9_records": op9_records,
     "op10_lines": op10_lines,
 }

@@ -71,10 +71,8 @@ def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
 
 
 def with_copies(docs: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
-    """All documents with ``source_size``, ``target`` and ``copies``, how often the mix holds them."""
-    taken = {"source_size", "target", "copies"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are in use; select or rename first")
+    """All documents with ``mix_size``, ``mix_target`` (of the source) and ``mix_copies``, how often the mix holds them."""
+    targets = targets.select("mix_source", F.col("source_size").alias("mix_size"), F.col("target").alias("mix_target"))
     if targets.limit(SMALL_SOURCES + 1).count() <= SMALL_SOURCES:
         joined = docs.join(F.broadcast(targets), docs["source"].eqNullSafe(targets["mix_source"]), "left")
     else:  # a source may hold a third of all rows: spread it over salts
@@ -83,14 +81,13 @@ def with_copies(docs: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFr
         joined = docs.join(
             salted, docs["source"].eqNullSafe(salted["mix_source"]) & (salt == salted["mix_salt"]), "left"
         ).drop("mix_salt")
-    rate = F.coalesce(F.col("target") / F.col("source_size"), F.lit(0.0))
-    whole_copies = F.floor(rate)
-    more = (draw(docs["doc_id"], whole(docs["text"]), seed) < rate - whole_copies).cast("long")
+    rate = F.coalesce(F.col("mix_target") / F.col("mix_size"), F.lit(0.0))
+    more = (draw(docs["doc_id"], whole(docs["text"]), seed) < rate - F.floor(rate)).cast("long")
     return joined.withColumns(
         {
-            "copies": whole_copies + more,
-            "source_size": F.coalesce("source_size", F.lit(0)),
-            "target": F.coalesce("target", F.lit(0.0)),
+            "mix_copies": F.floor(rate) + more,
+            "mix_size": F.coalesce("mix_size", F.lit(0)),
+            "mix_target": F.coalesce("mix_target", F.lit(0.0)),
         }
     ).drop("mix_source")
 
@@ -98,8 +95,8 @@ def with_copies(docs: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFr
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row as often as it is drawn, with the columns of ``docs``."""
     mixed = with_copies(docs, source_targets(docs, **options))
-    return mixed.withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(
-        *docs.columns
+    return mixed.withColumn("mix_copies", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))).select(
+        *[docs[c] for c in docs.columns]
     )
 
 
@@ -109,9 +106,9 @@ def mix_report(docs: DataFrame) -> DataFrame:
     return with_copies(docs, source_targets(docs)).select(
         "doc_id",
         n_words().alias("size"),
-        "source_size",
-        "target",
-        (n_words() * F.col("copies")).alias("taken"),
+        F.col("mix_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (n_words() * F.col("mix_copies")).alias("taken"),
     )
 
 
