@@ -121,7 +121,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     texts = docs.select(docs["doc_id"], whole(docs["text"]).alias("text"))
     following = stored(next_keys(texts), "spots-next")
     rows = texts.select(_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
-    one = rows if not following.where("copies > 1").limit(1).count() else rows.dropDuplicates(["key"])
+    one = rows
+    if following.where("copies > 1").limit(1).count():
+        # The first of equal rows, found behind the exchange: both sides then read one shuffle of the texts.
+        place = F.lag(F.lit(1)).over(Window.partitionBy("key").orderBy("text"))
+        one = rows.withColumn("later", place).where("later is null").drop("later")
     ahead = following.join(one.withColumnsRenamed({"key": "next_key", "text": "next_text"}), "next_key")
     return ahead.select("key", "doc_id", "next_text").join(rows, "key").select("doc_id", "text", "next_text")
 
