@@ -126,8 +126,13 @@ def with_next(docs: DataFrame) -> DataFrame:
         # The first of equal rows, found behind the exchange: both sides then read one shuffle of the texts.
         place = F.lag(F.lit(1)).over(Window.partitionBy("key").orderBy("text"))
         one = rows.withColumn("later", place).where("later is null").drop("later")
-    ahead = following.join(one.withColumnsRenamed({"key": "next_key", "text": "next_text"}), "next_key")
-    return ahead.select("key", "doc_id", "next_text").join(rows, "key").select("doc_id", "text", "next_text")
+    # Renaming comes after the joins: with equal names below, Spark reads one shuffle of the texts twice.
+    ahead = (
+        following.alias("f")
+        .join(one.alias("n"), F.col("f.next_key") == F.col("n.key"))
+        .select("f.key", "f.doc_id", F.col("n.text").alias("next_text"))
+    )
+    return ahead.join(rows, "key").select("doc_id", "text", "next_text")
 
 
 def compared(docs: DataFrame) -> DataFrame:
