@@ -312,7 +312,7 @@ def oracle() -> dict[str, str]:
     vocabulary = terms + "," + VOCABULARY
     scored = vocabulary + "," + SCORED
     b = BOOTSTRAP_SAMPLES
-    exact = scored + "," + ",".join([_bucketed("hour"), _multinomial("true", b), _interval("multinomial_means")])
+    hourly = scored + "," + ",".join([_bucketed("hour"), _poisson("true", b), _interval("poisson_means")])
     topics = "[" + ", ".join(f"'{t}'" for t in TOPICS) + "]"
     valid_ids = "(SELECT * FROM raw WHERE tweet_id <> '') QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY scraped_at) = 1"
     stream_scored = (
@@ -322,8 +322,12 @@ def oracle() -> dict[str, str]:
     every_term = TERMS.replace("tokens AS", "all_tokens AS").replace("grams AS", "all_grams AS").replace(
         "FROM tokens", "FROM all_tokens"
     ).replace("FROM grams", "FROM all_grams").replace("term_counts AS", "all_terms AS").replace(
-        "FROM docs", "FROM valid"
-    ).replace("tweet_id", "scraped_at")
+        "FROM docs", "FROM texts"
+    ).replace("tweet_id", "text_id").replace(
+        "unnest(g) FROM all_grams)", "unnest(g) FROM all_grams) SEMI JOIN vocabulary USING (term)"
+    )
+    texts = """texts AS (SELECT content_norm, row_number() OVER () AS text_id
+                        FROM (SELECT DISTINCT content_norm FROM valid))"""
 
     return {
         "read_raw_jsonl": raw + RAW_VIEW + "raw",
@@ -334,7 +338,7 @@ def oracle() -> dict[str, str]:
         "sample_head": posts + CLEAN_VIEW + 'posts ORDER BY posts."timestamp", tweet_id LIMIT 100',
         "write_sample_files": posts
         + 'SELECT tweet_id, md5(content) AS content, likes, hashtags FROM posts ORDER BY "timestamp", tweet_id LIMIT 100',
-        "write_agg_csv": exact + AGG_VIEW + "aggregated",
+        "write_agg_csv": hourly + AGG_VIEW + "aggregated",
         "write_scored_parquet": scored + SCORED_VIEW + "scored",
         "write_vocabulary": vocabulary + "SELECT term FROM vocabulary",
         "write_summary": scored + SUMMARY,
@@ -404,7 +408,7 @@ def oracle() -> dict[str, str]:
              FROM (SELECT *, time_bucket(INTERVAL 7 HOUR, "timestamp",
                      (SELECT CAST(date_trunc('day', min("timestamp")) AS TIMESTAMP) FROM scored)) AS bucket_start FROM scored)
              GROUP BY ALL""",
-        "hourly_signals": exact + AGG_VIEW + "aggregated",
+        "hourly_signals": hourly + AGG_VIEW + "aggregated",
         "bootstrap_ci": scored
         + "," + ",".join([_bucketed("day"), _poisson("true", b), _interval("poisson_means")])
         + AGG_VIEW + "aggregated",
@@ -437,19 +441,19 @@ def oracle() -> dict[str, str]:
         + f"SELECT tweet_id, engagement FROM posts ORDER BY md5(tweet_id || ':{SEED}'), tweet_id LIMIT 1500",
         "posts_to_hourly_signals": _with(
             BASE, RAW, CLEAN, POSTS, _lookback(WIDE_LOOKBACK, TARGET_POSTS), "docs AS (SELECT * FROM kept)",
-            TERMS, VOCABULARY, SCORED, _bucketed("hour"), _multinomial("true", b), _interval("multinomial_means"),
+            TERMS, VOCABULARY, SCORED, _bucketed("hour"), _poisson("true", b), _interval("poisson_means"),
         )
         + AGG_VIEW + "aggregated",
         "stream_raw": raw + RAW_VIEW + "raw",
         "stream_dedupe": posts + "SELECT DISTINCT tweet_id FROM valid",
         "stream_hourly": posts + "," + stream_scored + "," + _bucketed("hour").replace("FROM scored", "FROM stream_posts")
         + STATS_VIEW + "stats",
-        "stream_score": vocabulary + "," + every_term
+        "stream_score": vocabulary + "," + texts + "," + every_term
         + f""", all_strengths AS (
-               SELECT scraped_at, sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)) AS s
-               FROM all_terms JOIN vocabulary USING (term) GROUP BY scraped_at),
+               SELECT text_id, sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)) AS s
+               FROM all_terms JOIN vocabulary USING (term) GROUP BY text_id),
              rated AS (SELECT v.*, coalesce(s, 0.0) AS strength, {_lexicon('content_norm')} AS lex
-                       FROM valid v LEFT JOIN all_strengths USING (scraped_at))
+                       FROM valid v JOIN texts USING (content_norm) LEFT JOIN all_strengths USING (text_id))
              SELECT scraped_at, round(strength, 6) AS tfidf_strength,
                     round(greatest(-1.0, least(1.0, 0.7 * lex * ln(1 + engagement) + 0.3 * lex * strength
                       / (SELECT max(s) FROM strengths))), 6) AS tweet_signal FROM rated""",

@@ -20,17 +20,27 @@ def _one_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def keep_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    return _one_per_key(df, key, [F.col(c).desc_nulls_last() for c in order])
+def _column(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    return _one_per_key(df, key, [F.col(c).asc_nulls_last() for c in order])
+def keep_last(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
+    return _one_per_key(df, key, [_column(c).desc_nulls_last() for c in order])
+
+
+def keep_first(df: DataFrame, key: str, order: list[str | Column]) -> DataFrame:
+    return _one_per_key(df, key, [_column(c).asc_nulls_last() for c in order])
+
+
+def total_order(df: DataFrame, first: list[str]) -> list[str | Column]:
+    """``first`` and then all other columns, so that only fully equal rows can tie."""
+    rest = [F.to_json(F.struct(F.col(c))) if "<" in kind else F.col(c) for c, kind in df.dtypes if c not in first]
+    return [*first, *rest]
 
 
 def dedupe_by_id(posts: DataFrame) -> DataFrame:
     """The latest version of each id."""
-    return keep_last(posts, "tweet_id", ID_ORDER)
+    return keep_last(posts, "tweet_id", total_order(posts, [c for c in ID_ORDER if c in posts.columns]))
 
 
 def dedupe_by_content(posts: DataFrame) -> DataFrame:
@@ -44,5 +54,5 @@ def new_posts(incoming: DataFrame, existing: DataFrame, order: str = "scraped_at
     Both sides are reduced to one row per id before they meet, and on the same partitioning.
     """
     known = existing.select("tweet_id").distinct()
-    seen_first = keep_first(incoming.filter(F.col("tweet_id") != ""), "tweet_id", [order])
+    seen_first = keep_first(incoming.filter(F.col("tweet_id") != ""), "tweet_id", total_order(incoming, [order]))
     return seen_first.join(known, "tweet_id", "left_anti")

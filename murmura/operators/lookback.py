@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.defaults import LOOKBACK_HOURS, TARGET_POSTS
-from murmura.operators.dedupe import keep_first
+from murmura.operators.dedupe import keep_first, total_order
 
 
 def instant(as_of) -> Column:
@@ -48,7 +48,7 @@ def widening_lookback(
 
 def take_target(posts: DataFrame, n: int = TARGET_POSTS) -> DataFrame:
     """The first n distinct posts in the order they were collected."""
-    return keep_first(posts, "tweet_id", ["scraped_at"]).orderBy("scraped_at", "tweet_id").limit(n)
+    return keep_first(posts, "tweet_id", total_order(posts, ["scraped_at"])).orderBy("scraped_at", "tweet_id").limit(n)
 
 
 def latest(posts: DataFrame, n: int) -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 
 from murmura.defaults import BEARISH, BUCKET, BULLISH
 from murmura.operators.buckets import aggregate_signals, ci_series
-from murmura.operators.report import histogram, sample_rows, summary, tag_means
+from murmura.operators.report import histogram, summary, tag_means
 from murmura.operators.scoring import max_strength, score_posts, with_features, with_signal
 from murmura.operators.tfidf import fit_tfidf
+from murmura.session import require_utc
 from murmura.sources.tables import write_agg, write_scored, write_summary, write_vocabulary
 from murmura.storage import materialize
 
@@ -39,6 +40,7 @@ def hourly_signals(
     **limits,
 ) -> DataFrame:
     """Only the aggregated table. Texts are read for scoring and never stored again."""
+    require_utc(posts.sparkSession)
     scored = score_posts(posts, bullish, bearish, columns=SIGNAL_COLUMNS, **limits)
     return aggregate_signals(scored, bucket=bucket)
 
@@ -51,6 +53,7 @@ def analyze_posts(
     **limits,
 ) -> Analysis:
     """All results. ``posts`` is read several times: pass a stored table."""
+    require_utc(posts.sparkSession)
     tfidf = fit_tfidf(posts, **limits)
     features = materialize(with_features(posts, tfidf, bullish, bearish), "features")
     scored = with_signal(features, max_strength(features))
@@ -61,7 +64,7 @@ def analyze_posts(
         vocabulary=tfidf.vocabulary(posts.sparkSession).drop("term_index"),
         summary=summary(scored),
         tag_means=tag_means(scored),
-        engagement_histogram=histogram(sample_rows(scored), "engagement"),
+        engagement_histogram=histogram(scored, "engagement"),
         series=ci_series(aggregated),
     )
 
@@ -71,3 +74,5 @@ def write_analysis(analysis: Analysis, folder: str) -> None:
     write_agg(materialize(analysis.aggregated, "aggregated"), f"{folder}/aggregated", f"{folder}/sample_aggregated")
     write_vocabulary(analysis.vocabulary, f"{folder}/vocabulary")
     write_summary(analysis.summary, f"{folder}/summary")
+    for name in ("tag_means", "engagement_histogram", "series"):  # what the charts are drawn from
+        getattr(analysis, name).write.mode("overwrite").parquet(f"{folder}/{name}")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from murmura.defaults import LOOKBACK_HOURS, TARGET_POSTS
 from murmura.operators.clean import clean_and_dedupe
 from murmura.operators.lookback import widening_lookback
+from murmura.session import require_utc
 from murmura.sources.tables import write_flat, write_partitioned, write_sample
 from murmura.storage import materialize
 
@@ -20,6 +21,7 @@ def process_posts(
     target: int = TARGET_POSTS,
 ) -> DataFrame:
     """Clean, deduplicate, store, and select the lookback window."""
+    require_utc(raw.sparkSession)
     return widening_lookback(materialize(clean_and_dedupe(raw), "clean"), as_of, hours, target)
 
 

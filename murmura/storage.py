@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +11,9 @@ BROADCAST_ROWS = 200_000
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local session without one gets its own."""
+    """The shared folder named by ``spark.checkpoint.dir``, else one in the session's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="murmura-"))
-    return spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

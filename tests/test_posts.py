@@ -1,5 +1,6 @@
 """Extraction, cleaning, duplicates, lookback."""
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,6 +8,10 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from murmura.operators import clean, dedupe, extract, lookback
+from murmura.operators.buckets import bucket_width
+from murmura.operators.dedupe import new_posts
+from murmura.operators.lookback import take_target
+from murmura.session import require_utc
 from murmura.schemas import CAPTURE, CLEAN_COLUMNS, RAW_TEXT
 
 FIELDS = [f.split()[0] for f in RAW_TEXT.replace("\n", " ").split(",")]
@@ -122,3 +127,33 @@ def test_topics(spark, tags, expected):
     assert extract.assign_topic(df, tags).filter("tweet_id = '1'").first().query_tag == expected
     kept = extract.topic_filter(df, tags, "2026-01-10 12:00:00").count()
     assert kept == (0 if expected == "" else 1)
+
+
+@pytest.mark.parametrize("width", ["1h", "hour", "1 hour", "1H", "60min", "2 hours", "1D", "90s", "1 week"])
+def test_bucket_widths(width):
+    assert re.fullmatch(r"\d+ (second|minute|hour|day|week)", bucket_width(width))
+
+
+@pytest.mark.parametrize("width", ["", "1 month", "0h", "h1", "x"])
+def test_bad_bucket_widths(width):
+    with pytest.raises(ValueError):
+        bucket_width(width)
+
+
+def test_other_time_zones_are_refused(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        with pytest.raises(ValueError, match="time zone"):
+            require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_survivors_do_not_depend_on_the_layout(spark):
+    rows = [("1", "t", t, ["x"]) for t in "cab"] + [("2", "t", "z", None)]
+    schema = "tweet_id string, scraped_at string, content string, hashtags array<string>"
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        df = spark.createDataFrame(order, schema).repartition(3)
+        fresh = new_posts(df, df.where("tweet_id = '2'"))
+        assert [(r.tweet_id, r.content) for r in fresh.collect()] == [("1", "a")]
+        assert [r.content for r in take_target(df, 2).collect()] == ["a", "z"]
