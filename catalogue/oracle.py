@@ -387,6 +387,15 @@ def oracle() -> dict[str, str]:
         "incremental_new_posts": raw
         + f"""SELECT tweet_id, scraped_at, md5(content) AS content FROM (SELECT * FROM {valid_ids})
               WHERE tweet_id NOT IN (SELECT tweet_id FROM raw WHERE query_tag = ' CLICK ' AND tweet_id IS NOT NULL)""",
+        "ingest_resumed": capture
+        + """, ids AS (SELECT tweet_id, scraped_at, md5(content) AS content FROM extracted WHERE tweet_id <> ''),
+             before AS (SELECT * FROM (SELECT * FROM ids WHERE scraped_at LIKE '%3'
+                          QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY scraped_at) = 1)
+                        ORDER BY scraped_at, tweet_id LIMIT 300),
+             added AS (SELECT * FROM (SELECT * FROM ids WHERE tweet_id NOT IN (SELECT tweet_id FROM before)
+                         QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY scraped_at) = 1)
+                       ORDER BY scraped_at, tweet_id LIMIT (SELECT 800 - count(*) FROM before))
+             SELECT * FROM before UNION ALL SELECT * FROM added""",
         "tokenize": terms + "SELECT tweet_id, md5(array_to_string(t, ' ')) AS tokens FROM tokens",
         "ngrams": terms
         + "SELECT tweet_id, len(t) + len(g) AS n, md5(array_to_string(list_concat(t, g), '|')) AS ngrams FROM grams",

@@ -25,6 +25,7 @@ from catalogue.inputs import (
 from murmura.functions import fields, signal, text
 from murmura.operators import buckets, clean, dedupe, extract, lookback, report, scoring, tfidf
 from murmura.plans.analyze import SIGNAL_COLUMNS, hourly_signals
+from murmura.plans.ingest import ingest_posts
 from murmura.plans.process import process_posts
 from murmura.sources import raw as raw_source
 from murmura.sources import tables
@@ -335,6 +336,13 @@ def incremental_new_posts(spark, sf_dir):
     return dedupe.new_posts(incoming, existing).select("tweet_id", "scraped_at", _digest("content"))
 
 
+def ingest_resumed(spark, sf_dir):
+    """Two runs: the first takes 300 posts, the second adds unknown ones up to 800 in all."""
+    path, seen = scratch_path(spark, "ingested"), capture(spark, sf_dir)
+    ingest_posts(seen.filter(F.col("scraped_at").endswith("3")), path, target=300, resume=False)
+    return ingest_posts(seen, path, target=800).select("tweet_id", "scraped_at", _digest("content"))
+
+
 # --- text features
 
 
@@ -572,6 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_by_content": dedupe_by_content,
     "clean_and_dedupe": clean_and_dedupe,
     "incremental_new_posts": incremental_new_posts,
+    "ingest_resumed": ingest_resumed,
     "tokenize": tokenize,
     "ngrams": ngrams,
     "term_counts": term_counts,

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from murmura.storage import broadcast_if_small
+
 # Copies of an id that agree in time are told apart by the remaining columns, so that a retried
 # task picks the same survivor.
 ID_ORDER = ["timestamp", "scraped_at", "content_hash", "query_tag", "engagement", "views", "likes"]
@@ -51,8 +53,10 @@ def dedupe_by_content(posts: DataFrame) -> DataFrame:
 def new_posts(incoming: DataFrame, existing: DataFrame, order: str = "scraped_at") -> DataFrame:
     """Incoming posts with ids not stored yet, the first seen of each.
 
-    Both sides are reduced to one row per id before they meet, and on the same partitioning.
+    Both sides are reduced to one row per id before they meet, and on the same partitioning. The ids
+    of a batch that a count proves small are broadcast, so that of the history only they are shuffled.
     """
-    known = existing.select("tweet_id").distinct()
+    arriving = broadcast_if_small(incoming.select("tweet_id").distinct())
+    known = existing.select("tweet_id").join(arriving, "tweet_id", "left_semi").distinct()
     seen_first = keep_first(incoming.filter(F.col("tweet_id") != ""), "tweet_id", total_order(incoming, [order]))
     return seen_first.join(known, "tweet_id", "left_anti")

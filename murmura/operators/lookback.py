@@ -16,12 +16,12 @@ def instant(as_of) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
 
 
-def _start(as_of, hours: int) -> Column:
+def window_start(as_of, hours: int) -> Column:
     return instant(as_of) - F.make_dt_interval(hours=F.lit(hours))
 
 
 def fixed_lookback(posts: DataFrame, as_of, hours: int) -> DataFrame:
-    return posts.filter(F.col("timestamp") >= _start(as_of, hours))
+    return posts.filter(F.col("timestamp") >= window_start(as_of, hours))
 
 
 def widening_lookback(
@@ -37,15 +37,22 @@ def widening_lookback(
     stored table.
     """
     counts = fixed_lookback(posts, as_of, max(hours)).agg(
-        *[F.count_if(F.col("timestamp") >= _start(as_of, h)).alias(f"within_{h}") for h in hours]
+        *[F.count_if(F.col("timestamp") >= window_start(as_of, h)).alias(f"within_{h}") for h in hours]
     )
     chosen = F.coalesce(
-        *[F.when(F.col(f"within_{h}") >= target, _start(as_of, h)) for h in hours],
+        *[F.when(F.col(f"within_{h}") >= target, window_start(as_of, h)) for h in hours],
         F.lit("0001-01-01 00:00:00").cast("timestamp"),
     )
     return posts.filter(F.col("timestamp") >= counts.select(chosen.alias("start")).scalar())
 
 
+def reaching_window(posts: DataFrame, as_of, hours: Sequence[int], target: int) -> int | None:
+    """The first window, in the order given, with at least ``target`` posts; None if none has."""
+    within = [F.count_if(F.col("timestamp") >= window_start(as_of, h)) for h in hours]
+    counts = posts.agg(*within).first()
+    return next((h for h, n in zip(hours, counts) if n >= target), None)
+
+
 def take_target(posts: DataFrame, n: int = TARGET_POSTS) -> DataFrame:
     """The first n distinct posts in the order they were collected."""
     return keep_first(posts, "tweet_id", total_order(posts, ["scraped_at"])).orderBy("scraped_at", "tweet_id").limit(n)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from murmura.defaults import LOOKBACK_HOURS, TARGET_POSTS
+from murmura.functions.fields import parse_timestamp
 from murmura.operators.clean import clean_and_dedupe
-from murmura.operators.lookback import widening_lookback
+from murmura.operators.lookback import fixed_lookback, reaching_window, window_start
 from murmura.session import require_utc
 from murmura.sources.tables import write_flat, write_partitioned, write_sample
 from murmura.storage import materialize
@@ -20,9 +22,19 @@ def process_posts(
     hours: Sequence[int] = LOOKBACK_HOURS,
     target: int = TARGET_POSTS,
 ) -> DataFrame:
-    """Clean, deduplicate, store, and select the lookback window."""
+    """Clean, deduplicate, store, and select the lookback window.
+
+    Raw posts older than the widest window go first: of each id and text the latest post stays, so an
+    older one never displaces one inside a window. The whole history is cleaned only when no window
+    reaches the target.
+    """
     require_utc(raw.sparkSession)
-    return widening_lookback(materialize(clean_and_dedupe(raw), "clean"), as_of, hours, target)
+    recent = raw.filter(parse_timestamp(F.col("timestamp")) >= window_start(as_of, max(hours)))
+    clean = materialize(clean_and_dedupe(recent), "clean-recent")
+    reached = reaching_window(clean, as_of, hours, target)
+    if reached is None:
+        return materialize(clean_and_dedupe(raw), "clean")
+    return fixed_lookback(clean, as_of, reached)
 
 
 def write_processed(posts: DataFrame, folder: str) -> str:

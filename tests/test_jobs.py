@@ -13,9 +13,13 @@ import __spark_entry__
 from catalogue.queries import QUERIES
 from catalogue.compare import connect, differences
 from catalogue.inputs import BEARISH, BULLISH, posts, raw
+from murmura.operators.clean import clean_and_dedupe
+from murmura.operators.lookback import widening_lookback
 from murmura.operators.scoring import fit_signal_model
 from murmura.plans.analyze import analyze_posts, write_analysis
+from murmura.plans.ingest import ingest_posts
 from murmura.plans.process import process_posts, write_processed
+from murmura.schemas import CAPTURE, RAW_TEXT
 from murmura.sources.raw import append_raw, read_raw
 from murmura.sources.tables import read_posts, write_agg, write_flat, write_partitioned
 from murmura.storage import broadcast_if_small, materialize, scratch_folder
@@ -107,6 +111,35 @@ def test_whole_job(spark, tmp_path):
     assert terms == sorted(terms) and len(terms) == result.vocabulary.count()
 
 
+@pytest.mark.parametrize("target", [2, 3, 100])
+def test_old_posts_go_before_cleaning(spark, target):
+    """Copies of ids and texts on both sides of the boundary; the last target is out of reach."""
+    def post(key, day, content):
+        return (key, "u", f"2026-01-{day:02d} 12:00:00", content, "0", "0", "0", "0", "[]", "[]", "t", "p", f"{day:04d}")
+
+    rows = [
+        post("1", 1, "a"), post("1", 20, "b"), post("2", 2, "b"), post("3", 19, "c"), post("4", 3, "c"),
+        post("5", 4, "d"), post("6", 18, "e"), post("7", 18, "e"), post("8", 5, "f"), post("8", 6, "g"),
+    ]
+    frame = spark.createDataFrame(rows, RAW_TEXT)
+    as_of, hours = "2026-01-21 00:00:00", (24, 48, 72)
+    whole = widening_lookback(materialize(clean_and_dedupe(frame), "whole"), as_of, hours, target)
+    got = process_posts(frame, as_of, hours, target)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect()))
+    assert got.count() == {2: 2, 3: 3, 100: 5}[target]
+
+
+def test_ingest_counts_stored_posts(spark, tmp_path):
+    rows = [(f"https://x.example/u/status/{i // 2}", "2026-01-01", "@u", f"text {i}", "", "", "", "", "t", f"{i:03d}") for i in range(40)]
+    seen, folder = spark.createDataFrame(rows, CAPTURE), str(tmp_path / "raw")
+    assert ingest_posts(seen.where("scraped_at < '010'"), folder, target=3, resume=False).count() == 3
+    with open(tmp_path / "raw" / "broken.json", "w") as f:
+        f.write('{"tweet_id": "1\n')
+    stored = ingest_posts(seen, folder, target=8)
+    assert sorted(int(r.tweet_id) for r in stored.collect()) == list(range(8))
+    assert ingest_posts(seen, folder, target=5).count() == 8
+
+
 def drain(writer):
     writer.trigger(availableNow=True).start().awaitTermination()
 
