@@ -323,6 +323,55 @@ def test_lines_against_all_pairs(spark):
     assert removed <= want and len(removed) >= 0.98 * len(want)
 
 
+def character_shingles(line):
+    line = " ".join(line.lower().split())
+    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
+
+
+def linked_lines(texts):
+    """The numbers of the lines that go, by all pairs of plain character shingles."""
+    parent = list(range(len(texts)))
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    sets = [character_shingles(t) for t in texts]
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i for i in range(len(texts)) if root(i) != i}
+
+
+def test_shingles_are_windows_at_every_place(spark):
+    texts = ["a", "four", "fives", "x" * 64 + "yz", "ab😀日本語 d", "".join(chr(0x4E00 + i % 211) for i in range(300)), "w " * 100 + "end"]
+    frame = spark.createDataFrame([(t, t) for t in texts], "key string, line string")
+    wanted = {(t, s) for t in texts for s in character_shingles(t)}
+    plain = spark.createDataFrame(sorted(wanted), "key string, s string").selectExpr("key", f"xxhash64(s) & {lines.LOW} as hash")
+    assert {tuple(r) for r in lines.shingle_hashes(frame).collect()} == {tuple(r) for r in plain.collect()}
+
+
+def test_short_lines_and_lines_without_blanks(spark):
+    """One letter changed in a line of 60 to 110 characters: words, addresses, signs without blanks."""
+    rnd = random.Random(8)
+    letters, texts = "abcdefghijklmnoprstuvw", []
+    for k in range(120):
+        n = rnd.randint(60, 110)
+        if k % 3 == 0:
+            line = list(" ".join("".join(rnd.choices(letters, k=rnd.randint(3, 9))) for _ in range(n // 7)))
+        elif k % 3 == 1:
+            line = list("https://" + "".join(rnd.choices(letters + "/?=", k=n)))
+        else:
+            line = [chr(0x4E00 + rnd.randint(0, 2000)) for _ in range(n)]
+        changed = list(line)
+        changed[next(i for i in range(20, len(line)) if line[i] != " ")] = "x"
+        texts += ["".join(line), "".join(changed)]
+    want = linked_lines(texts)
+    removed = {r.doc_id for r in lines.report(spark.createDataFrame(rows_of(texts), SCHEMA)).collect() if r.n_removed}
+    assert len(want) > 100 and removed <= want and len(removed) >= 0.97 * len(want)
+
+
 # -- outliers -------------------------------------------------------------------------------------
 
 
