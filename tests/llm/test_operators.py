@@ -372,6 +372,19 @@ def test_short_lines_and_lines_without_blanks(spark):
     assert len(want) > 100 and removed <= want and len(removed) >= 0.97 * len(want)
 
 
+def test_links_of_a_bucket_are_complete(spark, monkeypatch):
+    """Chains of lines, each similar to its neighbours only, all in one bucket."""
+    rnd, texts = random.Random(9), []
+    for _ in range(40):
+        line = [f"w{rnd.randint(10000, 99999)}" for _ in range(60)]
+        for step in range(12):
+            line[step * 5 : step * 5 + 5] = [f"w{rnd.randint(10000, 99999)}" for _ in range(5)]
+            texts.append(" ".join(line))
+    monkeypatch.setattr(lines, "with_bands", lambda every: every.selectExpr("key", "array(1L) as bands").distinct())
+    removed = {r.doc_id for r in lines.report(spark.createDataFrame(rows_of(texts), SCHEMA)).collect() if r.n_removed}
+    assert removed == linked_lines(texts) and len(removed) == 40 * 11
+
+
 # -- outliers -------------------------------------------------------------------------------------
 
 
