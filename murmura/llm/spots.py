@@ -1,13 +1,15 @@
 """Document fingerprints from spot signatures, as DataFrame expressions only.
 
 A spot is a common word directly followed by a content word; its signature is the common word with the
-chain of the next content words, common words skipped. The set of a document's signatures is its
-fingerprint; likeness is the Jaccard similarity of two sets. Near-duplicate search partitions the sets
+chain of the next content words, common words skipped. Words are compared without the punctuation about
+them. What no spot covers has signatures too: a content word in no chain gives the pair with the next
+content word, and a common word among common ones the pair with the next word, so every stretch of a text
+counts, however few spots it has. The set of a document's signatures is its fingerprint; likeness is the
+Jaccard similarity of two sets. Near-duplicate search partitions the sets
 by length (similar sets have similar lengths), compares within a partition and its neighbour those that
 share one of their first signatures, prunes by the lengths and verifies exactly.
 
-Cases: a null text counts as empty; texts without spots take the pairs of neighbouring words instead,
-and texts without words their whole text, so any text has a fingerprint and equal texts have equal ones.
+Cases: a null text counts as empty; texts without words take their whole text, so any text has a fingerprint and equal texts have equal ones.
 Null ids come before all others; rows that repeat id and text are one document: each copy gets the same
 values, and the next document is the next different pair of id and text. A single document is its own
 next. Further columns are not read. An empty table gives an empty result.
@@ -15,6 +17,7 @@ next. Further columns are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import log
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +39,11 @@ COMMON = (
 ).split()
 
 
+#: Punctuation before or after the letters and digits of a word; words without any stay as they are.
+_MARK, _SIGN, _BLANK = r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]", r"[\p{L}\p{M}\p{N}]", r"[^\x20\x09-\x0D]"
+EDGES = rf"(?<!{_BLANK}){_MARK}++(?={_SIGN})|(?<={_SIGN}){_MARK}++(?!{_BLANK})"
+
+
 def _common(word: Column) -> Column:
     return word.isin(COMMON)
 
@@ -46,38 +54,42 @@ def with_signatures(rows: DataFrame, texts: dict[str, str]) -> DataFrame:
     Every step is a column of its own: inside a lambda the step before would be done for each word.
     """
     columns, names = rows.columns, list(texts.values())
-    step = rows.withColumns({f"{n}_w": words(F.lower(F.col(t))) for t, n in texts.items()})
+    step = rows.withColumns({f"{n}_w": words(F.regexp_replace(F.lower(F.col(t)), EDGES, "")) for t, n in texts.items()})
+    step = step.withColumns({f"{n}_m": F.transform(f"{n}_w", lambda x: F.struct(x.alias("word"), _common(x).alias("common"))) for n in names})
 
-    def content(w: str) -> Column:
+    def content(m: str) -> Column:
         marked = F.transform(
-            w,
-            lambda x, i: F.struct(x.alias("word"), F.when((i > 0) & _common(F.get(w, i - 1)), F.get(w, i - 1)).alias("after")),
+            m,
+            lambda x, i: F.struct(
+                x["word"].alias("word"), x["common"].alias("common"), F.when(F.get(m, i - 1)["common"], F.get(m, i - 1)["word"]).alias("after")
+            ),
         )
-        return F.filter(marked, lambda s: ~_common(s["word"]))
+        return F.filter(marked, lambda s: ~s["common"])
 
-    step = step.withColumns({f"{n}_c": content(f"{n}_w") for n in names})
+    step = step.withColumns({f"{n}_c": content(f"{n}_m") for n in names})
 
     def chains(c: str) -> Column:
+        covered = lambda i: reduce(Column.__or__, [F.get(c, i - k)["after"].isNotNull() for k in range(1, CHAIN)])
         hashed = F.transform(
             c,
             lambda s, i: F.when(
                 s["after"].isNotNull(), F.xxhash64(s["after"], s["word"], *[F.get(c, i + k)["word"] for k in range(1, CHAIN)])
-            ),
+            ).when(~covered(i), F.xxhash64(F.lit("|"), s["word"], F.get(c, i + 1)["word"])),
         )
         return F.array_compact(hashed)
 
-    step = step.withColumns({n: F.sort_array(F.array_distinct(chains(f"{n}_c"))) for n in names})
-
-    def filled(t: str, n: str) -> Column:
-        w = f"{n}_w"
-        pairs = F.transform(w, lambda x, i: F.xxhash64(F.lit("|"), x, F.get(w, i + 1)))
-        return (
-            F.when(F.size(n) > 0, F.col(n))
-            .when(F.size(w) > 0, F.sort_array(F.array_distinct(pairs)))
-            .otherwise(F.array(F.xxhash64(F.lit("||"), F.col(t))))
+    def between(m: str) -> Column:
+        common = lambda i: F.coalesce(F.get(m, i)["common"], F.lit(True))
+        hashed = F.transform(
+            m, lambda x, i: F.when(x["common"] & common(i - 1) & common(i + 1), F.xxhash64(F.lit("||"), x["word"], F.get(m, i + 1)["word"]))
         )
+        return F.array_compact(hashed)
+
+    def signatures(t: str, n: str) -> Column:
+        found = F.sort_array(F.array_distinct(F.concat(chains(f"{n}_c"), between(f"{n}_m"))))
+        return F.when(F.size(f"{n}_w") > 0, found).otherwise(F.array(F.xxhash64(F.lit("|||"), F.col(t))))
 
-    return step.select(*columns, *[filled(t, n).alias(n) for t, n in texts.items()])
+    return step.select(*columns, *[signatures(t, n).alias(n) for t, n in texts.items()])
 
 
 def likeness(a: str, b: str) -> Column:

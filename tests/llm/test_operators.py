@@ -3,6 +3,7 @@
 import hashlib
 import random
 import struct
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -479,6 +480,43 @@ def test_spots_of_awkward_rows_and_classes(spark, awkward):
     assert {(r.doc_id, r.class_id) for r in spots.near_duplicates(docs).collect()} == {(d, root(d)) for d in data}
 
 
+def whole_spots(text):
+    """The signatures of spots and of the stretches between them."""
+
+    def bare(w):
+        kept = [i for i, c in enumerate(w) if unicodedata.category(c)[0] in "LMN"]
+        return w[kept[0] : kept[-1] + 1] if kept else w
+
+    words = [bare(w.decode()) for w in text.lower().encode().split()]
+    common = [w in set(spots.COMMON) for w in words]
+    at = [i for i, c in enumerate(common) if not c]
+    after = [words[i - 1] if i and common[i - 1] else None for i in at]
+    ahead = [words[i] for i in at[1:]] + [None]
+    found = {(a or "|", words[i], n) for k, (i, a, n) in enumerate(zip(at, after, ahead)) if a or not (k and after[k - 1])}
+    around = [True, *common, True]
+    found |= {("||", w, (words[i + 1 :] or [None])[0]) for i, w in enumerate(words) if all(around[i : i + 3])}
+    return found or {text}
+
+
+def test_signatures_cover_the_whole_text(spark):
+    rnd = random.Random(3)
+    stretch = lambda n: " ".join(f"word{rnd.randint(0, 9999)}" for _ in range(n))
+    opening = "and the house stands here"
+    first, second = f"{opening} {stretch(300)}", f"{opening} {stretch(300)}"
+    edited = first[: len(first) // 2] + stretch(150)
+    texts = [first, second, edited, "THE!! house (of, cards) &&& is...", "the house of cards &&& is", "of the", "the", "&&& ***", "", " "]
+    texts += [r.text for r in documents(spark).limit(60).collect()]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: set(r.own) for r in spots.with_signatures(frame, {"text": "own"}).collect()}
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    assert jaccard(got[0], got[1]) < 0.1 and 0.2 < jaccard(got[0], got[2]) < 0.5 and got[3] == got[4]
+    sets = [whole_spots(t) for t in texts]
+    for a in range(len(texts)):
+        assert len(got[a]) == len(sets[a]) > 0
+        for b in range(a):
+            assert jaccard(got[a], got[b]) == pytest.approx(jaccard(sets[a], sets[b]))
+
+
 # -- learned operators ----------------------------------------------------------------------------
 
 
