@@ -1,6 +1,8 @@
 """Secret scan: candidate strings, and a random forest that sorts out false positives.
 
-Candidates are long runs of letters and digits with a digit among them. Their features (length,
+Candidates are values assigned to a credential word (``password=``, ``"api_key":``, ``token =`` before the
+word, or the password of ``scheme://user:password@``) of four or more characters, and, in what is left of a word, all
+long runs of letters and digits with a digit among them. Every candidate of a word is a finding. Their features (length,
 character transitions, dictionary coverage, path marks, neighbouring words) are column expressions and
 the forest is Spark's own, trained on a bounded sample of labelled findings. DataFrame operations only.
 
@@ -27,6 +29,16 @@ MODULUS, HELD_OUT = 3, 1
 
 CANDIDATE = r"(?=[A-Za-z_+/=-]*[0-9])[A-Za-z0-9_+/=-]{16,}"
 CREDENTIAL = r"(?i)passw|pwd|secret|token|api.?key|access.?key|auth|credential"
+#: What links a credential word to its value; the ``:`` of ``https://`` doesn't.
+ASSIGN = r"(?:=>|:=|={1,2}|:(?!//))"
+LINK = CREDENTIAL.removeprefix("(?i)")
+#: A value that a credential word or an address names, as the one group; of an address the sign ``@`` stays.
+NAMED = (
+    rf"(?i)(?:(?:{LINK})[A-Za-z0-9_.-]*[\"'`\]]*{ASSIGN}[\"'`(\[{{]*|(?<![a-z0-9+.-])[a-z0-9+.-]++://[^\s/:@?#]*:(?=[^\s/]+@))"
+    r"((?<=://[^\s/:@?#]{0,200}:)[^\s/]{4,}(?=@)|[^\s\"'`,;&<>(){}\[\]]{4,})"
+)
+#: The end of the words before, when they assign to a credential word.
+BEFORE = rf"(?i)(?:{LINK})[A-Za-z0-9_.-]*[\"'`\]]* ?{ASSIGN}[\"'`(]*$"
 # Parts of everyday identifiers.
 DICTIONARY = (
     r"(?i)example|sample|test|user|name|file|image|page|index|data|version|build|mail|number|order|invoice|"
@@ -34,27 +46,35 @@ DICTIONARY = (
 )
 FEATURES = [
     "length", "transitions", "digits", "capitals", "variety", "dictionary", "slashes", "hex", "only_digits",
-    "credential_before", "assigned", "quoted", "mail", "web",
+    "credential_before", "assigned", "quoted", "mail", "web", "named",
 ]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """One row per candidate: ``doc_id``, ``place`` (its word), ``value`` and the words about it."""
+    """One row per candidate: ``doc_id``, ``place`` (its word), ``at`` (which of the word's candidates),
+    ``value``, ``named`` (a credential word is assigned to it) and the words about it."""
     listed = docs.select(docs["doc_id"], words(docs["text"]).alias("w"))
     about = F.transform(
         "w",
-        lambda x, i: F.when(
-            (F.length(x) >= 16) & x.rlike(CANDIDATE),
-            F.struct(
-                i.alias("place"),
-                x.alias("word"),
-                F.concat_ws(" ", F.get("w", i - 3), F.get("w", i - 2), F.get("w", i - 1)).alias("before"),
-                F.coalesce(F.get("w", i + 1), F.lit("")).alias("after"),
-            ),
+        lambda x, i: F.struct(
+            i.alias("place"),
+            x.alias("word"),
+            F.concat_ws(" ", F.get("w", i - 3), F.get("w", i - 2), F.get("w", i - 1)).alias("before"),
+            F.coalesce(F.get("w", i + 1), F.lit("")).alias("after"),
         ),
     )
-    found = listed.select("doc_id", F.inline(F.array_compact(about)))
-    return found.withColumn("value", F.regexp_extract("word", rf"({CANDIDATE})", 1))
+    found = listed.select("doc_id", F.inline(about))
+    found = found.where(F.col("word").rlike(CANDIDATE) | F.col("word").rlike(NAMED) | F.col("before").rlike(BEFORE))
+    # A word that the words before assign to reads as if they were written to it.
+    whole = F.when(F.col("before").rlike(BEFORE) & ~F.col("word").rlike(NAMED), F.concat(F.lit("token="), F.col("word"))).otherwise(F.col("word"))
+    found = found.withColumn("read", whole)
+    named, left = F.regexp_extract_all("read", F.lit(NAMED), F.lit(1)), F.regexp_replace("read", NAMED, "\u0001")
+    each = F.concat(
+        F.transform(named, lambda v: F.struct(v.alias("value"), F.lit(True).alias("named"))),
+        F.transform(F.regexp_extract_all(left, F.lit(f"({CANDIDATE})"), F.lit(1)), lambda v: F.struct(v.alias("value"), F.lit(False).alias("named"))),
+    )
+    rows = found.select("doc_id", "place", "word", "before", "after", F.posexplode(each).alias("at", "one"))
+    return rows.select("doc_id", "place", "at", "word", "before", "after", "one.value", F.col("one.named").cast("double").alias("named"))
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -105,7 +125,7 @@ def _assembled(rows: DataFrame) -> DataFrame:
 def scored(found: DataFrame, labelled: DataFrame, bound: int = SAMPLE) -> DataFrame:
     """``found`` with ``score``: the forest's probability that it is a secret."""
     sample = (
-        labelled.select("label", *FEATURES, F.xxhash64("doc_id", "place", "value").alias("drawn"))
+        labelled.select("label", *FEATURES, F.xxhash64("doc_id", "place", "at", "value").alias("drawn"))
         .orderBy("drawn")
         .limit(bound)
         .withColumn("label", F.col("label").cast("double"))
@@ -120,7 +140,7 @@ def scored(found: DataFrame, labelled: DataFrame, bound: int = SAMPLE) -> DataFr
 
 
 def findings(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """One row per candidate: ``doc_id``, ``place``, ``length``, ``value_sha256``, ``score``, ``secret``.
+    """One row per candidate: ``doc_id``, ``place``, ``length``, ``value_sha256``, ``score``, ``secret``, ``at``.
 
     ``labelled`` holds findings with features and ``label``; by default those that strict rules settle.
     """
@@ -134,4 +154,5 @@ def findings(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
         F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
         F.round("score", 6).alias("score"),
         (F.col("score") >= THRESHOLD).alias("secret"),
+        F.col("at").cast("long").alias("at"),
     )

@@ -560,6 +560,24 @@ def test_secrets(spark):
     assert len(secret) <= 61
 
 
+def test_all_candidates_of_a_word(spark):
+    a, b, c = "Zk3v9Qm2Xw7Lp5Tn8R", "Hy6Ud1Se4Gb0Cj9Fa2", "Mq8Wn3Vr5Bt7Kx1Jz6"
+    texts = {
+        f'{{"x":"{a}","api_key":"{b}","y":"{c}"}}': {a, b, c},
+        f"A_TOKEN={a},B_TOKEN={b};{c}": {a, b, c},
+        f"eyJhbGciOiJIUzI1NiJ9.{a}.{b}": {"eyJhbGciOiJIUzI1NiJ9", a, b},
+        "DB_PASSWORD=abc123!x then": {"abc123!x"},
+        "password = letmeinplease now": {"letmeinplease"},
+        "Password: hunter2": {"hunter2"},
+        "no secret here": set(),
+    }
+    docs = spark.createDataFrame(rows_of(list(texts)), SCHEMA)
+    got = {(r.doc_id, r.value) for r in secrets.candidates(docs).collect()}
+    assert got == {(i, v) for i, values in enumerate(texts.values()) for v in values}
+    rows = secrets.findings(docs).collect()
+    assert len({(r.doc_id, r.place, r.at) for r in rows}) == len(rows) == len(got)
+
+
 # -- empty tables and the pipeline ----------------------------------------------------------------
 
 
