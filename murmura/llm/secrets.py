@@ -106,12 +106,13 @@ def with_features(found: DataFrame) -> DataFrame:
 def rule_labels(found: DataFrame) -> DataFrame:
     """Findings whose nature a strict rule settles, with ``label``: the corpus has no table of findings.
 
-    Secret: assigned to a credential word, or in the format of a cloud access key. Not secret: mail and
-    web addresses, digits only, and candidates with neither credential word nor assignment nearby.
+    Secret: named by a credential word or in the format of a cloud access key, wherever it stands. Not
+    secret: other parts of mail and web addresses, digits only, and candidates with neither credential word
+    nor assignment nearby. Other candidates with both nearby are secret.
     """
     label = (
-        F.when((F.col("mail") == 1) | (F.col("web") == 1) | (F.col("only_digits") == 1), 0)
-        .when(F.col("value").rlike(r"^AKIA[0-9A-Z]{16}$"), 1)
+        F.when(F.col("value").rlike(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])") | (F.col("named") == 1), 1)
+        .when((F.col("mail") == 1) | (F.col("web") == 1) | (F.col("only_digits") == 1), 0)
         .when((F.col("credential_before") == 1) & (F.col("assigned") == 1), 1)
         .when((F.col("credential_before") == 0) & (F.col("assigned") == 0), 0)
     )

@@ -578,6 +578,14 @@ def test_all_candidates_of_a_word(spark):
     assert len({(r.doc_id, r.place, r.at) for r in rows}) == len(rows) == len(got)
 
 
+def test_secrets_in_addresses(spark):
+    a, b = "Zk3v9Qm2Xw7Lp5Tn8R", "AKIA" + "Q7ZK2M5N8P1R4T6V"
+    texts = [f"https://h.org/x?api_key={a}&page=2", f"postgres://user:{a}@host/db", f"see https://h.org/{b}/x", f"https://h.org/author/long2024name{a}", f"write {a}.x@example.com"]
+    found = secrets.with_features(secrets.candidates(spark.createDataFrame(rows_of(texts), SCHEMA)))
+    got = {(r.doc_id, r.label) for r in secrets.rule_labels(found).collect()}
+    assert got == {(0, 1), (1, 1), (2, 1), (3, 0), (4, 0)}
+
+
 # -- empty tables and the pipeline ----------------------------------------------------------------
 
 
