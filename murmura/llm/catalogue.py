@@ -7,8 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from murmura.llm import bpe, lines, mixing, outliers, quality, records, secrets, simhash, spots, toxicity
-from murmura.llm.common import documents, labels
+from murmura.llm import (
+    bpe,
+    lines,
+    mixing,
+    outliers,
+    prefixes,
+    quality,
+    records,
+    secrets,
+    simhash,
+    spots,
+    toxicity,
+    urls,
+    whitening,
+)
+from murmura.llm.common import documents, labels, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,6 +69,18 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(documents(spark, sf_dir))
 
 
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark))
+
+
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie_of_rebuilt(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -66,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spots": op8_spots,
     "op9_records": op9_records,
     "op10_lines": op10_lines,
+    "op11_urls": op11_urls,
+    "op12_prefixes": op12_prefixes,
+    "op13_whitening": op13_whitening,
 }
 
-ORACLE = {"op6_mixing": mixing.MIX_SQL}
+ORACLE = {"op6_mixing": mixing.MIX_SQL, "op11_urls": urls.JUDGED_SQL, "op12_prefixes": prefixes.REBUILT_SQL}
