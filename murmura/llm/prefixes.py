@@ -123,9 +123,6 @@ def _block_nodes(wide: DataFrame, done: int, names: list[str]) -> DataFrame:
         "prior",
         *names,
         "d",
-        _node(d, names).alias("node"),
-        F.when(d > 0, _node(d - 1, names)).alias("parent"),
-        (d + done).cast("long").alias("depth"),
         "n_convs",
         "conv_id",
         (F.col("longest") == d + done).cast("long").alias("n_leaves"),
@@ -133,12 +130,13 @@ def _block_nodes(wide: DataFrame, done: int, names: list[str]) -> DataFrame:
     )
 
 
-def _subtrees(nodes: DataFrame, below: DataFrame | None, names: list[str]) -> tuple[DataFrame, DataFrame]:
+def _subtrees(nodes: DataFrame, below: DataFrame | None, done: int, names: list[str]) -> tuple[DataFrame, DataFrame]:
     """The nodes of a block with the sums of their subtrees, and the sums of all that hangs under each ``prior``.
 
     ``below`` has the sums of what hangs under the block's last nodes.
     """
     if below is not None:
+        nodes = nodes.withColumn("node", F.when(F.col("d") == len(names), _node(F.col("d"), names)))
         nodes = nodes.join(below.withColumnsRenamed({"prior": "node", "n_leaves": "more_leaves", "saved_tokens": "more_saved"}), "node", "left")
         nodes = nodes.withColumns(
             {
@@ -146,12 +144,25 @@ def _subtrees(nodes: DataFrame, below: DataFrame | None, names: list[str]) -> tu
                 "saved_tokens": F.col("saved_tokens") + F.coalesce("more_saved", F.lit(0)),
             }
         )
-    # In the group of a prefix its own node has the least depth.
-    top = F.min(F.struct("d", "node", "parent", "depth", "n_convs", "conv_id")).alias("top")
+    # In the group of a prefix its own node has the least depth, the most members and the smallest of them.
     sums = nodes.rollup("prior", *names).agg(
-        _level(names).alias("level"), top, F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens")
+        _level(names).alias("level"),
+        F.min("d").alias("d"),
+        F.max("n_convs").alias("n_convs"),
+        F.min("conv_id").alias("conv_id"),
+        F.sum("n_leaves").alias("n_leaves"),
+        F.sum("saved_tokens").alias("saved_tokens"),
+    )
+    level = F.col("level")
+    own = sums.where("d = level").select(
+        _node(level, names).alias("node"),
+        F.when(level > 0, _node(level - 1, names)).alias("parent"),
+        (level + done).cast("long").alias("depth"),
+        "n_convs",
+        "conv_id",
+        "n_leaves",
+        "saved_tokens",
     )
-    own = sums.where("top.d = level").select("top.*", "n_leaves", "saved_tokens").drop("d")
     return own, sums.where("level = 0").select("prior", "n_leaves", "saved_tokens")
 
 
@@ -229,7 +240,7 @@ def prefix_trie(turns: DataFrame, members: DataFrame, first: int = FIRST, furthe
         nodes = stored(_block_nodes(wide, done, names), "nodes")
         inside = F.col("n") <= done + len(names)
         ends.append(wide.where(inside).select(_node(F.col("n") - done, names).alias("node"), "conv_id"))
-        blocks.append((nodes, names))
+        blocks.append((nodes, done, names))
         done += len(names)
         if longest <= done:
             break
@@ -247,8 +258,7 @@ def prefix_trie(turns: DataFrame, members: DataFrame, first: int = FIRST, furthe
             # A path's first place has the sums of all of it.
             under = paths[at].groupBy("prior").agg(F.lit(1).cast("long").alias("n_leaves"), F.max("saved_tokens").alias("saved_tokens"))
             below = under if below is None else below.unionByName(under)
-        nodes, names = blocks[at]
-        own, below = _subtrees(nodes, below, names)
+        own, below = _subtrees(blocks[at][0], below, *blocks[at][1:])
         done_nodes.append(own)
         below = stored(below, "below") if at else None
     done_nodes += [p.drop("prior") for p in paths]
