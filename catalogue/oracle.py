@@ -5,7 +5,14 @@ from __future__ import annotations
 from catalogue.inputs import AS_OF, BEARISH, BULLISH, TOPICS
 from catalogue.queries import LOOKBACK, TARGET, WIDE_LOOKBACK
 from murmura.defaults import BOOTSTRAP_SAMPLES, MAX_DF, MAX_FEATURES, MIN_DF, SEED, TARGET_POSTS
-from murmura.functions.resample import PRIME, poisson_thresholds
+
+# Fixed values of the draws, written out here so that the SQL doesn't lean on the library it checks: the
+# modulus 2^31 - 1, and the cumulative Poisson(1) probabilities on its scale.
+PRIME = 2_147_483_647
+POISSON_THRESHOLDS = [
+    790_015_083, 1_580_030_167, 1_975_037_709, 2_106_706_890, 2_139_624_185, 2_146_207_644,
+    2_147_304_887, 2_147_461_637, 2_147_481_230, 2_147_483_407, 2_147_483_625, 2_147_483_645,
+]
 
 BASE = """
 base AS (
@@ -194,7 +201,7 @@ stats AS (
 
 
 def _poisson(where: str, replicates: int) -> str:
-    weight = " + ".join(f"CAST(u >= {t} AS INT)" for t in poisson_thresholds())
+    weight = " + ".join(f"CAST(u >= {t} AS INT)" for t in POISSON_THRESHOLDS)
     return f"""
 poisson_draws AS (
   SELECT bucket_start, b, x, {_draw('o', 's', 'b')} AS u
@@ -212,7 +219,7 @@ def _multinomial(where: str, replicates: int) -> str:
     return f"""
 held AS (
   SELECT bucket_start, list(tweet_signal ORDER BY tweet_id) AS xs, count(*) AS size,
-         {_seeds("strftime(bucket_start, '%Y-%m-%d %H:%M:%S')")}
+         {_seeds("CAST(CAST(epoch(bucket_start) AS BIGINT) AS VARCHAR)")}
   FROM bucketed JOIN stats USING (bucket_start) WHERE {where} GROUP BY bucket_start
 ),
 numbered AS (SELECT *, unnest(range(0, size * {replicates})) AS n FROM held),
@@ -425,16 +432,11 @@ def oracle() -> dict[str, str]:
         + "," + ",".join([_bucketed("day"), _multinomial("true", b), _interval("multinomial_means")])
         + AGG_VIEW + "aggregated",
         "bootstrap_ci_mixed": scored
-        + ","
-        + ",".join(
-            [
-                _bucketed("hour"),
-                _multinomial("tweet_count <= 6", b),
-                _poisson("tweet_count > 6", b),
-                _interval("multinomial_means", "poisson_means"),
-            ]
-        )
+        + "," + ",".join([_bucketed("hour"), _multinomial("true", b), _interval("multinomial_means")])
         + AGG_VIEW + "aggregated",
+        "bootstrap_cells": scored + "," + _bucketed("day")
+        + f""" SELECT {HOUR}, tweet_count, round(signal_mean, 6) AS signal_mean, tweet_count * {b} AS draws,
+                      true AS covered FROM stats""",
         "ci_series": scored
         + "," + ",".join([_bucketed("hour"), _poisson("true", 100), _interval("poisson_means")])
         + f"""SELECT {HOUR}, round(signal_mean, 6) AS signal_mean, round(ci_low, 6) AS ci_low,

@@ -22,6 +22,7 @@ from catalogue.inputs import (
     raw,
     stored_posts,
 )
+from murmura.defaults import BOOTSTRAP_SAMPLES, SEED
 from murmura.functions import fields, signal, text
 from murmura.operators import buckets, clean, dedupe, extract, lookback, report, scoring, tfidf
 from murmura.plans.analyze import SIGNAL_COLUMNS, hourly_signals
@@ -429,7 +430,20 @@ def bootstrap_ci_exact(spark, sf_dir):
 
 
 def bootstrap_ci_mixed(spark, sf_dir):
-    return _agg_view(buckets.bootstrap_ci_exact(_scored(spark, sf_dir), exact_rows=6))
+    """Buckets of one post and of many, by one method."""
+    return _agg_view(buckets.bootstrap_ci_exact(_scored(spark, sf_dir)))
+
+
+def bootstrap_cells(spark, sf_dir):
+    """Exact resampling with each bucket split over many cells: all draws are made, and means are covered."""
+    scored = _scored(spark, sf_dir)
+    stats = buckets.bucket_stats(scored, "1 day")
+    cells = buckets.cells_of(scored, "1 day", cell_posts=20)
+    made = buckets.cell_draws(cells, BOOTSTRAP_SAMPLES, SEED).groupBy("bucket_start").agg(F.sum("k").alias("draws"))
+    ci = buckets.bootstrap_ci_exact(scored, "1 day", cell_posts=20).select("bucket_start", "ci_low", "ci_high")
+    covered = F.col("signal_mean").between(F.col("ci_low") - 1e-9, F.col("ci_high") + 1e-9)
+    joined = stats.join(made, "bucket_start").join(ci, "bucket_start")
+    return joined.select(_hour("bucket_start"), "tweet_count", _round("signal_mean"), "draws", covered.alias("covered"))
 
 
 def ci_series(spark, sf_dir):
@@ -594,6 +608,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bootstrap_ci": bootstrap_ci,
     "bootstrap_ci_exact": bootstrap_ci_exact,
     "bootstrap_ci_mixed": bootstrap_ci_mixed,
+    "bootstrap_cells": bootstrap_cells,
     "ci_series": ci_series,
     "summary": summary,
     "tag_means": tag_means,

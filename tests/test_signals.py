@@ -173,14 +173,69 @@ def test_constant_values_have_no_spread(spark):
             assert r.ci_low == pytest.approx(0.1) and r.ci_high == pytest.approx(0.1)
 
 
-def test_large_buckets_are_not_collected(spark):
-    df = signals(spark, [3, 40])
-    mixed = {r.bucket_start: r for r in buckets.bootstrap_ci_exact(df, exact_rows=10).collect()}
-    exact = {r.bucket_start: r for r in buckets.bootstrap_ci_exact(df).collect()}
-    poisson = {r.bucket_start: r for r in buckets.bootstrap_ci(df).collect()}
-    small, large = sorted(mixed)
-    assert mixed[small].ci_low == pytest.approx(exact[small].ci_low)
-    assert mixed[large].ci_low == pytest.approx(poisson[large].ci_low)
+def test_draws_over_cells_are_multinomial(spark):
+    """Counts, means and variances of the draws that fall into cells of very different sizes."""
+    sizes, replicates = [1, 5, 40, 400, 1554], 3000
+    rows = [(datetime(2026, 1, 1), c, m) for c, m in enumerate(sizes)] + [(datetime(2026, 1, 2), 0, 7)]
+    cells = spark.createDataFrame(rows, "bucket_start timestamp, cell bigint, m bigint")
+    got = buckets.cell_draws(cells, replicates, 42).collect()
+    assert sorted((r.cell, r.b, r.k, r.first) for r in got if r.bucket_start.day == 2) == [(0, b, 7, 7 * b) for b in range(replicates)]
+    k, first = np.zeros((2, replicates, len(sizes)), np.int64)
+    for r in got:
+        if r.bucket_start.day == 1:
+            k[r.b, r.cell], first[r.b, r.cell] = r.k, r.first
+    n, m = sum(sizes), np.array(sizes)
+    assert (k.sum(1) == n).all()
+    assert (first == k.cumsum(0) - k).all()
+    spread = np.sqrt(m * (1 - m / n))
+    assert (abs(k.mean(0) - m) < 4 * spread / math.sqrt(replicates)).all()
+    assert k.var(0) == pytest.approx(spread**2, rel=0.12)
+    assert np.cov(k[:, 3], k[:, 4])[0, 1] == pytest.approx(-m[3] * m[4] / n, rel=0.15)
+
+
+def test_exact_resampling_of_a_bucket_of_many_cells(spark):
+    """Means over 60 cells spread as means of draws from the whole bucket do, skewed values included."""
+    x = np.random.default_rng(3).exponential(1.0, 3000)
+    rows = [(str(i), datetime(2026, 1, 1), float(v), 1, 1) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "tweet_id string, timestamp timestamp, tweet_signal double, engagement bigint, likes bigint")
+    stats = buckets.bucket_stats(df)
+    for cell_posts in (50, 5000):
+        held = buckets._held(buckets._values(df, stats, "1 hour", None), stats, 2000, cell_posts)
+        assert held.count() == math.ceil(3000 / cell_posts)
+        means = np.array([r.mean for r in buckets._multinomial_means(held, stats, 2000, 42).collect()])
+        assert len(means) == 2000
+        assert means.mean() == pytest.approx(x.mean(), abs=4 * x.std() / math.sqrt(3000 * 2000))
+        assert means.std() == pytest.approx(x.std() / math.sqrt(3000), rel=0.07)
+    ci = buckets.bootstrap_ci_exact(df, cell_posts=50).first()
+    assert ci.ci_high - ci.ci_low == pytest.approx(2 * 1.959964 * x.std() / math.sqrt(3000), rel=0.15)
+
+
+def test_tasks_follow_the_draws():
+    assert buckets.draw_tasks(0, 400, 200) == 1
+    assert buckets.draw_tasks(42_000, 400, 200) == 9
+    assert buckets.draw_tasks(10**7, 400, 200) == 200
+    assert buckets.draw_tasks(10**9, 400, 200) == 2000
+
+
+def test_features_are_scanned_twice(spark, tmp_path):
+    """Once for the statistics, which are stored, and once for the replicates."""
+    path = str(tmp_path / "scored")
+    signals(spark, [5, 9]).write.parquet(path)
+    plan = buckets.bootstrap_ci(spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("tweet_signal#") and plan.count("Relation [tweet_id") == 1
+
+
+def test_batch_and_stream_share_an_origin(spark):
+    times = ["2026-01-01 05:00:00", "2026-01-01 07:00:00", "2026-01-02 03:30:00", "1969-12-31 23:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("timestamp"))
+    got = [str(r.bucket_start) for r in buckets.with_bucket(df, "7 hours", "2026-01-01T02:00:00+00:00").orderBy("timestamp").collect()]
+    assert got == ["1969-12-31 19:00:00", "2026-01-01 02:00:00", "2026-01-01 02:00:00", "2026-01-01 23:00:00"]
+    late = df.where("timestamp > '2000-01-01'")
+    assert str(buckets.bucket_origin(late)) == "2026-01-01 00:00:00+00:00" and buckets.bucket_origin(df.limit(0)) is None
+    own, given = (buckets.with_bucket(late, "7 hours", o).collect() for o in (None, buckets.bucket_origin(late)))
+    assert sorted(own) == sorted(given)
+    with pytest.raises(ValueError):
+        buckets.bucket_window("7 hours")
 
 
 def test_series_and_reports(spark):
