@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalogue.inputs import AS_OF, BEARISH, BULLISH, TOPICS
-from catalogue.queries import LOOKBACK, TARGET, WIDE_LOOKBACK
+from catalogue.queries import HALF, LOOKBACK, OLD, ORIGIN, TARGET, WIDE_LOOKBACK
 from murmura.defaults import BOOTSTRAP_SAMPLES, MAX_DF, MAX_FEATURES, MIN_DF, SEED, TARGET_POSTS
 
 # Fixed values of the draws, written out here so that the SQL doesn't lean on the library it checks: the
@@ -336,6 +336,27 @@ def oracle() -> dict[str, str]:
     texts = """texts AS (SELECT content_norm, row_number() OVER () AS text_id
                         FROM (SELECT DISTINCT content_norm FROM valid))"""
 
+    rated = f"""all_strengths AS (
+               SELECT text_id, sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)) AS s
+               FROM all_terms JOIN vocabulary USING (term) GROUP BY text_id),
+             rated AS (SELECT v.*, coalesce(s, 0.0) AS strength, {_lexicon('content_norm')} AS lex
+                       FROM valid v JOIN texts USING (content_norm) LEFT JOIN all_strengths USING (text_id)),
+             blended AS (SELECT *, greatest(-1.0, least(1.0, 0.7 * lex * ln(1 + engagement) + 0.3 * lex * strength
+                       / (SELECT max(s) FROM strengths))) AS tweet_signal FROM rated)"""
+    seven = f"""SELECT strftime(bucket_start, '%Y-%m-%d %H:%M:%S') AS bucket_start, count(*) AS tweet_count,
+                    round(avg(tweet_signal), 6) AS signal_mean, round(avg(engagement), 6) AS mean_engagement,
+                    round(avg(likes), 6) AS mean_likes
+             FROM (SELECT *, time_bucket(INTERVAL 7 HOUR, "timestamp", TIMESTAMP '{ORIGIN}') AS bucket_start FROM stream_posts)
+             GROUP BY ALL"""
+    resumed = """, ids AS (SELECT tweet_id, scraped_at, md5(content) AS content FROM extracted WHERE tweet_id <> ''),
+             before AS (SELECT * FROM (SELECT * FROM ids WHERE scraped_at LIKE '%3'
+                          QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY scraped_at) = 1)
+                        ORDER BY scraped_at, tweet_id LIMIT 300),
+             added AS (SELECT * FROM (SELECT * FROM ids WHERE tweet_id NOT IN (SELECT tweet_id FROM before)
+                         QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY scraped_at) = 1)
+                       ORDER BY scraped_at, tweet_id LIMIT (SELECT 800 - count(*) FROM before))
+             SELECT * FROM before UNION ALL SELECT * FROM added"""
+
     return {
         "read_raw_jsonl": raw + RAW_VIEW + "raw",
         "read_raw_lenient": raw + RAW_VIEW + "raw WHERE likes <> '17' AND tweet_id <> ''",
@@ -395,14 +416,8 @@ def oracle() -> dict[str, str]:
         + f"""SELECT tweet_id, scraped_at, md5(content) AS content FROM (SELECT * FROM {valid_ids})
               WHERE tweet_id NOT IN (SELECT tweet_id FROM raw WHERE query_tag = ' CLICK ' AND tweet_id IS NOT NULL)""",
         "ingest_resumed": capture
-        + """, ids AS (SELECT tweet_id, scraped_at, md5(content) AS content FROM extracted WHERE tweet_id <> ''),
-             before AS (SELECT * FROM (SELECT * FROM ids WHERE scraped_at LIKE '%3'
-                          QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY scraped_at) = 1)
-                        ORDER BY scraped_at, tweet_id LIMIT 300),
-             added AS (SELECT * FROM (SELECT * FROM ids WHERE tweet_id NOT IN (SELECT tweet_id FROM before)
-                         QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY scraped_at) = 1)
-                       ORDER BY scraped_at, tweet_id LIMIT (SELECT 800 - count(*) FROM before))
-             SELECT * FROM before UNION ALL SELECT * FROM added""",
+        + resumed,
+        "stream_dedupe_resumed": capture + resumed,
         "tokenize": terms + "SELECT tweet_id, md5(array_to_string(t, ' ')) AS tokens FROM tokens",
         "ngrams": terms
         + "SELECT tweet_id, len(t) + len(g) AS n, md5(array_to_string(list_concat(t, g), '|')) AS ngrams FROM grams",
@@ -460,13 +475,20 @@ def oracle() -> dict[str, str]:
         "stream_hourly": posts + "," + stream_scored + "," + _bucketed("hour").replace("FROM scored", "FROM stream_posts")
         + STATS_VIEW + "stats",
         "stream_score": vocabulary + "," + texts + "," + every_term
-        + f""", all_strengths AS (
-               SELECT text_id, sum(tf * idf) / sqrt(sum(tf * idf * tf * idf)) AS s
-               FROM all_terms JOIN vocabulary USING (term) GROUP BY text_id),
-             rated AS (SELECT v.*, coalesce(s, 0.0) AS strength, {_lexicon('content_norm')} AS lex
-                       FROM valid v JOIN texts USING (content_norm) LEFT JOIN all_strengths USING (text_id))
-             SELECT scraped_at, round(strength, 6) AS tfidf_strength,
-                    round(greatest(-1.0, least(1.0, 0.7 * lex * ln(1 + engagement) + 0.3 * lex * strength
-                      / (SELECT max(s) FROM strengths))), 6) AS tweet_signal FROM rated""",
+        + "," + rated
+        + """ SELECT scraped_at, round(strength, 6) AS tfidf_strength, round(tweet_signal, 6) AS tweet_signal FROM blended""",
+        "stream_hourly_append": vocabulary + "," + texts + "," + every_term + "," + rated
+        + f""", sorted_out AS (
+               SELECT *, date_trunc('hour', "timestamp") AS bucket_start,
+                      "timestamp" < TIMESTAMP '{OLD}' AND likes % 10 = 3 AS is_late FROM blended)
+             SELECT {HOUR}, count(*) FILTER (NOT is_late) AS tweet_count,
+                    round(avg(tweet_signal) FILTER (NOT is_late), 6) AS signal_mean,
+                    round(avg(engagement) FILTER (NOT is_late), 6) AS mean_engagement,
+                    round(avg(likes) FILTER (NOT is_late), 6) AS mean_likes, count(*) FILTER (is_late) AS late
+             FROM sorted_out GROUP BY sorted_out.bucket_start""",
+        "stream_hourly_7h": posts + "," + stream_scored + seven,
+        "bucket_stats_7h_origin": posts + "," + stream_scored + seven,
+        "stream_latest": posts + CLEAN_VIEW + "posts",
+        "stream_partitioned_batches": posts + PARTITIONS.format(source="valid"),
         "stream_partitioned_sink": posts + PARTITIONS.format(source="valid"),
     }

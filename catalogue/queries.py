@@ -32,9 +32,12 @@ from murmura.sources import raw as raw_source
 from murmura.sources import tables
 from murmura.storage import materialize, scratch_path
 from murmura.streaming import posts as streaming
+from murmura.streaming import sinks
 
 LOOKBACK = (24, 36, 48, 72)
 TARGET = 200
+# Seven-hour buckets are counted from here; posts before OLD may come late, after those before HALF.
+ORIGIN, OLD, HALF = "2024-01-01 03:00:00", "2024-01-08 00:00:00", "2024-01-16 00:00:00"
 WIDE_LOOKBACK = (168, 336, 504, 672)
 
 
@@ -80,10 +83,10 @@ def _agg_view(df: DataFrame) -> DataFrame:
     )
 
 
-def _stats_view(df: DataFrame) -> DataFrame:
+def _stats_view(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
         _hour("bucket_start"), "tweet_count", _round("signal_mean"), _round("mean_engagement"),
-        _round("mean_likes"),
+        _round("mean_likes"), *more,
     )
 
 
@@ -516,14 +519,15 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(out).select("tweet_id")
 
 
+def _lexicon_scored(posts: DataFrame) -> DataFrame:
+    score = signal.lexicon_score(F.col("content_norm"), BULLISH, BEARISH)
+    return posts.withColumn("tweet_signal", score * signal.engagement_weight(F.col("engagement")))
+
+
 def stream_hourly(spark, sf_dir):
     out, mark = scratch_path(spark, "stream"), scratch_path(spark, "mark")
     arriving = streaming.stream_clean(streaming.stream_raw(spark, _landed(spark, sf_dir)))
-    scored = arriving.withColumn(
-        "tweet_signal",
-        signal.lexicon_score(F.col("content_norm"), BULLISH, BEARISH)
-        * signal.engagement_weight(F.col("engagement")),
-    )
+    scored = _lexicon_scored(arriving)
 
     def store(rows: DataFrame, _: int) -> None:
         rows.write.mode("overwrite").parquet(out)
@@ -533,6 +537,102 @@ def stream_hourly(spark, sf_dir):
     return _stats_view(spark.read.parquet(out))
 
 
+def stream_hourly_7h(spark, sf_dir):
+    """Seven-hour buckets of a stream, counted from the origin that the batch is given too."""
+    out, mark = scratch_path(spark, "stream"), scratch_path(spark, "mark")
+    scored = _lexicon_scored(streaming.stream_clean(streaming.stream_raw(spark, _landed(spark, sf_dir))))
+
+    def store(rows: DataFrame, _: int) -> None:
+        rows.write.mode("overwrite").parquet(out)
+
+    writer = streaming.stream_hourly(scored, "7 hours", origin=ORIGIN).writeStream.outputMode("complete").foreachBatch(store)
+    _drain(writer.option("checkpointLocation", mark))
+    return _stats_view(spark.read.parquet(out))
+
+
+def bucket_stats_7h_origin(spark, sf_dir):
+    """The batch result that `stream_hourly_7h` equals."""
+    scored = _lexicon_scored(clean.drop_invalid(cleaned(spark, sf_dir)))
+    return _stats_view(buckets.bucket_stats(scored, "7 hours", ORIGIN))
+
+
+def stream_hourly_append(spark, sf_dir):
+    """Hourly buckets written when they close, scored by a frozen model, and the posts that came too late.
+
+    Three runs with one checkpoint: posts of the first half, then the second half with old posts among it, then
+    a post far ahead that closes every bucket.
+    """
+    landing, out, mark = (scratch_path(spark, name) for name in ("landing", "stream", "mark"))
+    model = scoring.fit_signal_model(stored_posts(spark, sf_dir))
+    posted, seen = raw(spark, sf_dir), fields.parse_timestamp(F.col("timestamp"))
+    late = F.coalesce((seen < F.lit(OLD).cast("timestamp")) & (F.col("likes").cast("int") % 10 == 3), F.lit(False))
+    early = ~late & F.coalesce(seen < F.lit(HALF).cast("timestamp"), F.lit(True))
+    closing = posted.limit(1).withColumns({"timestamp": F.lit("2024-03-31 12:00:00"), "tweet_id": F.lit("closing")})
+    for wave in (posted.where(early), posted.where(~early), closing):
+        raw_source.append_raw(wave, landing)
+        arriving = streaming.stream_clean(streaming.stream_raw(spark, landing))
+        scored = streaming.stream_score(arriving, model, BULLISH, BEARISH)
+        _drain(streaming.flat_sink(streaming.stream_hourly(scored), out, mark))
+    written = spark.read.parquet(out)
+    arrived = clean.drop_invalid(cleaned(spark, sf_dir))
+    late_posts = streaming.late_counts(arrived, written)
+    joined = written.join(late_posts, "bucket_start", "full").withColumns(
+        {"tweet_count": F.coalesce("tweet_count", F.lit(0)), "late": F.coalesce("late", F.lit(0))}
+    )
+    return _stats_view(joined, "late")
+
+
+def stream_dedupe_resumed(spark, sf_dir):
+    """Captured elements to raw posts: two checkpoints over one folder, several batches, two targets."""
+    folder, ids = scratch_path(spark, "ingested"), scratch_path(spark, "ids")
+    seen, number = capture(spark, sf_dir), F.col("scraped_at").cast("bigint")
+    third = seen.agg(F.ceil((F.max(number) + 1) / 3)).first()[0]
+    for run, target in ((seen.filter(F.col("scraped_at").endswith("3")), 300), (seen, 800)):
+        landing, mark = scratch_path(spark, "landing"), scratch_path(spark, "mark")
+        for k in range(3):  # in the order of collection, a batch for each
+            run.where(F.floor(number / third) == k).write.mode("append").json(landing)
+            sinks.ingest_stream(sinks.stream_capture(spark, landing), folder, ids, mark, target)
+    return raw_source.read_raw(spark, folder, on_bad="drop").select("tweet_id", "scraped_at", _digest("content"))
+
+
+def stream_latest(spark, sf_dir):
+    """Keep-last by id and text over batches with later copies, one of them handed over twice."""
+    landing, mark = scratch_path(spark, "landing"), scratch_path(spark, "mark")
+    whole = raw(spark, sf_dir)
+    sink = sinks.LatestPosts(spark, scratch_path(spark, "latest"), clean.clean_rows(whole).schema, gather_every=2)
+    wave = F.pmod(F.xxhash64("scraped_at"), F.lit(3))
+
+    def twice(batch: DataFrame, run: str, number: int) -> None:
+        for _ in range(2 if number == 1 else 1):
+            sink(batch, run, number)
+
+    for k in (2, 0, 1):
+        raw_source.append_raw(whole.where(wave == k), landing)
+        _drain(sinks.each_batch(streaming.stream_clean(streaming.stream_raw(spark, landing)), mark, twice))
+    return _clean_view(sink.posts())
+
+
+def stream_partitioned_batches(spark, sf_dir):
+    """Dated folders filled batch by batch, one of them twice, and the days of the first half closed in between."""
+    landing, mark = scratch_path(spark, "landing"), scratch_path(spark, "mark")
+    whole = raw(spark, sf_dir)
+    sink = sinks.PartitionedPosts(spark, scratch_path(spark, "partitioned"), clean.clean_rows(whole).schema)
+
+    def twice(batch: DataFrame, run: str, number: int) -> None:
+        sink(batch, run, number)
+        sink(batch, run, number)
+
+    for k in range(2):
+        raw_source.append_raw(whole.where(F.pmod(F.xxhash64("scraped_at"), F.lit(2)) == k), landing)
+        _drain(sinks.each_batch(streaming.stream_clean(streaming.stream_raw(spark, landing)), mark, twice))
+        sink.close(HALF[:10])
+    return sink.posts().groupBy("date", "hashtag").agg(
+        F.count("*").alias("posts"),
+        F.countDistinct("query_tag").alias("tags"),
+        F.sum("engagement").alias("engagement"),
+    )
+
+
 def stream_score(spark, sf_dir):
     out, mark = scratch_path(spark, "stream"), scratch_path(spark, "mark")
     model = scoring.fit_signal_model(stored_posts(spark, sf_dir))
@@ -619,6 +719,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_raw": stream_raw,
     "stream_dedupe": stream_dedupe,
     "stream_hourly": stream_hourly,
+    "stream_hourly_7h": stream_hourly_7h,
+    "bucket_stats_7h_origin": bucket_stats_7h_origin,
+    "stream_hourly_append": stream_hourly_append,
+    "stream_dedupe_resumed": stream_dedupe_resumed,
+    "stream_latest": stream_latest,
+    "stream_partitioned_batches": stream_partitioned_batches,
     "stream_score": stream_score,
     "stream_partitioned_sink": stream_partitioned_sink,
 }

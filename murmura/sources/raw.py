@@ -11,12 +11,13 @@ from murmura.schemas import RAW_TEXT
 def read_raw(spark: SparkSession, path: str, on_bad: str = "raise", pattern: str | None = None) -> DataFrame:
     """All raw files of a folder or glob as one table of text columns.
 
-    Blank lines are skipped. A malformed line raises, or with ``on_bad="drop"`` is left out
+    Folders inside are read too, such as those of single batches. Blank lines are skipped. A malformed line raises, or with ``on_bad="drop"`` is left out
     together with rows that have no id.
     """
     if on_bad not in ("raise", "drop"):
         raise ValueError(f"on_bad must be 'raise' or 'drop', not {on_bad!r}")
     reader = spark.read.schema(RAW_TEXT).option("mode", "FAILFAST" if on_bad == "raise" else "DROPMALFORMED")
+    reader = reader.option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     posts = reader.json(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,3 +36,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     """Hint a broadcast when a count proves the table small; otherwise leave the join to Spark."""
     small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
+
+
+def delete(spark: SparkSession, pattern: str, chosen: Callable[[str], bool] = lambda name: True) -> None:
+    """Remove the files or folders of a glob, in whatever store it is, whose last name is ``chosen``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in store.globStatus(path) or ():
+        if chosen(found.getPath().getName()):
+            store.delete(found.getPath(), True)

@@ -1,0 +1,155 @@
+"""Streams that store each batch once, over restarts, copies, late posts and gathered files."""
+
+import json
+import os
+from datetime import datetime
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from catalogue.inputs import capture, raw
+from murmura.operators.clean import clean_and_dedupe, clean_rows, drop_invalid
+from murmura.plans.ingest import ingest_posts
+from murmura.schemas import CAPTURE
+from murmura.sources.batches import BatchTable
+from murmura.sources.raw import append_raw, read_raw
+from murmura.streaming import posts as streaming
+from murmura.streaming import sinks
+
+SF = "/root/testdata/sf0.001"
+
+
+def files(path):
+    found = {}
+    for folder, _, names in os.walk(path):
+        n = sum(f.endswith(".parquet") for f in names)
+        if n:
+            found[os.path.relpath(folder, path)] = n
+    return found
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_a_batch_table_keeps_each_batch_once(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"), "k string, v bigint")
+    batch = lambda *pairs: spark.createDataFrame(list(pairs), "k string, v bigint")
+    assert rows(table.read()) == []
+    table.gather()
+    table.put(batch(("a", 1), ("b", 2)), "one", 0)
+    table.put(batch(("a", 1), ("b", 2)), "one", 0)
+    table.put(batch(("c", 3)), "one", 1)
+    table.put(batch(("d", 4)), "two", 0)  # the first batch of another checkpoint
+    assert rows(table.read()) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)]
+    assert rows(table.read(without=("one", 1))) == [("a", 1), ("b", 2), ("d", 4)]
+    table.gather(below=("one", 1))
+    assert rows(table.waiting()) == [("c", 3)] and len(rows(table.read())) == 4
+    table.put(batch(("a", 1), ("b", 2)), "one", 0)  # handed over again after it was gathered
+    table.put(batch(("e", 5)), "two", 1)
+    assert rows(table.read()) == [("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5)]
+    before = rows(table.read())
+    table.gather(reduce=lambda all_rows: all_rows.where("v < 5"))
+    table.clean()
+    assert rows(table.read()) == [r for r in before if r[1] < 5]
+    assert len(files(tmp_path / "t" / "gathered")) == 1 and not files(tmp_path / "t" / "open")
+    with pytest.raises(ValueError):
+        table.put(batch(("x", 1)), "a/b", 0)
+
+
+def drain(writer):
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def test_partitioned_sink_has_few_files(spark, tmp_path):
+    landing, out, mark = (str(tmp_path / n) for n in ("landing", "out", "mark"))
+    valid = drop_invalid(clean_rows(raw(spark, SF)))
+    sink = sinks.PartitionedPosts(spark, out, valid.schema)
+    handed = []
+
+    def handle(batch, run, number):
+        sink(batch, run, number)
+        sink(batch, run, number)
+        handed.append((run, number))
+
+    for part in ("likes < 200", "likes >= 200"):
+        append_raw(raw(spark, SF).where(part), landing)
+        drain(sinks.each_batch(streaming.stream_clean(streaming.stream_raw(spark, landing)), mark, handle))
+    assert [n for _, n in handed] == [0, 1] and len({run for run, _ in handed}) == 1
+    assert rows(sink.posts().select(valid.columns)) == rows(valid)
+    assert set(files(f"{out}/open").values()) == {1}
+    sink.close("2024-01-10")
+    closed = {f.split("/")[1] for f in files(f"{out}/gathered")}
+    assert closed == {f"date=2024-01-0{d}" for d in range(1, 10)} and set(files(f"{out}/gathered").values()) == {1}
+    old = valid.where("timestamp < '2024-01-02'").withColumn("tweet_id", F.lit("late"))
+    sink(old, handed[0][0], 2)
+    sink.close("2024-01-10")
+    sink.table.clean()
+    assert sink.posts().count() == valid.count() + old.count()
+    assert not any("date=2024-01-0" in f for f in files(f"{out}/open"))
+    assert sink.posts().where("date = '2024-01-01' and tweet_id = 'late'").count() == old.count()
+
+
+def test_latest_posts_in_any_cut(spark, tmp_path):
+    whole = raw(spark, SF)
+    landing, mark = str(tmp_path / "landing"), str(tmp_path / "mark")
+    sink = sinks.LatestPosts(spark, str(tmp_path / "latest"), clean_rows(whole).schema, gather_every=2)
+    for k in (2, 0, 3, 1):
+        append_raw(whole.where(F.pmod(F.xxhash64("scraped_at"), F.lit(4)) == k), landing)
+        drain(sinks.each_batch(streaming.stream_clean(streaming.stream_raw(spark, landing)), mark, sink))
+    assert len(files(tmp_path / "latest" / "gathered")) == 1
+    run = sinks.checkpoint_id(spark, mark)
+    sink(drop_invalid(clean_rows(whole.limit(200))), run, 4)  # posts that are known, in a batch more
+    assert rows(sink.posts()) == rows(clean_and_dedupe(whole))
+
+
+def element(i, key):
+    return (f"https://x.example/u/status/{key}", "2026-01-01", "@u", f"text {i}", "", "", "", "", "t", f"{i:03d}")
+
+
+def land(spark, path, elements):
+    spark.createDataFrame(elements, CAPTURE).coalesce(1).write.mode("append").json(path)
+
+
+def test_ingest_goes_on_over_checkpoints_and_stops_at_the_target(spark, tmp_path):
+    landing, folder, ids = (str(tmp_path / n) for n in ("landing", "raw", "ids"))
+    ingest_posts(spark.createDataFrame([element(900, "old"), element(901, "older")], CAPTURE), folder, target=9, resume=False)
+    stored = lambda: sorted((r.tweet_id, r.scraped_at) for r in read_raw(spark, folder, on_bad="drop").collect())
+    land(spark, landing, [element(1, "a"), element(0, "a"), element(2, "old"), element(3, "b")])
+    sink = sinks.ingest_stream(sinks.stream_capture(spark, landing, 1), folder, ids, str(tmp_path / "m1"), target=8)
+    want = [("a", "000"), ("b", "003"), ("old", "900"), ("older", "901")]
+    assert stored() == want and not sink.reached
+    # Another checkpoint reads everything again; a file a batch, and the third finds no room.
+    land(spark, landing, [element(4, "c"), element(5, "b")])
+    sink = sinks.ingest_stream(sinks.stream_capture(spark, landing, 1), folder, ids, str(tmp_path / "m2"), target=5)
+    assert stored() == sorted([*want, ("c", "004")])
+    land(spark, landing, [element(6, "d")])
+    sink = sinks.ingest_stream(sinks.stream_capture(spark, landing, 1), folder, ids, str(tmp_path / "m2"), target=5)
+    assert sink.reached and len(stored()) == 5
+    sink = sinks.ingest_stream(sinks.stream_capture(spark, landing, 1), folder, ids, str(tmp_path / "m2"), target=6)
+    assert stored() == sorted([*want, ("c", "004"), ("d", "006")])
+
+
+def test_an_ingested_batch_may_come_again(spark, tmp_path):
+    """As after a crash behind each of its two writes, gathered ids included."""
+    folder, ids = str(tmp_path / "raw"), str(tmp_path / "ids")
+    batches = [[element(10 * b + i, f"{b}{i // 2}") for i in range(6)] for b in range(3)]
+    sink = sinks.Ingest(spark, folder, ids, target=100, gather_every=1)
+    for number, batch in enumerate(batches):
+        for _ in range(2):
+            again = sinks.Ingest(spark, folder, ids, target=100, gather_every=1)
+            again(spark.createDataFrame(batch, CAPTURE), "run", number)
+    sink.ids.put(spark.createDataFrame([("30",)], "tweet_id string"), "run", 3)  # ids written, posts not
+    sink(spark.createDataFrame([element(30, "30"), element(31, "00")], CAPTURE), "run", 3)
+    got = sorted((r.tweet_id, r.scraped_at) for r in read_raw(spark, folder, on_bad="drop").collect())
+    assert got == sorted([(f"{b}{i}", f"{10 * b + 2 * i:03d}") for b in range(3) for i in range(3)] + [("30", "030")])
+
+
+def test_a_failing_sink_is_not_taken_for_the_target(spark, tmp_path):
+    land(spark, str(tmp_path / "landing"), [element(1, "a")])
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "broken.json").write_text(json.dumps({"tweet_id": "x"}))
+    bad = sinks.stream_capture(spark, str(tmp_path / "landing")).withColumn("permalink", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(StreamingQueryException):
+        sinks.ingest_stream(bad, str(tmp_path / "raw"), str(tmp_path / "ids"), str(tmp_path / "m"))
