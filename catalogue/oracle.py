@@ -46,6 +46,7 @@ raw AS (
   FROM base
 )"""
 
+# Control characters that are deleted, and blanks that become one space.
 CLEAN = r"""
 spaced AS (
   SELECT *, trim(regexp_replace(regexp_replace(content, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'),
@@ -360,6 +361,11 @@ def oracle() -> dict[str, str]:
     return {
         "read_raw_jsonl": raw + RAW_VIEW + "raw",
         "read_raw_lenient": raw + RAW_VIEW + "raw WHERE likes <> '17' AND tweet_id <> ''",
+        "bad_row_counts": raw
+        + """SELECT count(*) AS lines, count(*) FILTER (value = 17) AS malformed,
+                    count(*) FILTER (value IN (14, 15)) AS without_id, count(*) FILTER (value = 13) AS bad_timestamp,
+                    count(*) FILTER (value = 16) AS bad_replies, CAST(0 AS BIGINT) AS bad_retweets,
+                    CAST(0 AS BIGINT) AS bad_likes, CAST(0 AS BIGINT) AS bad_views FROM raw""",
         "append_raw_jsonl": raw + RAW_VIEW + "raw",
         "write_flat_parquet": posts + CLEAN_VIEW + "posts",
         "write_partitioned_parquet": posts + PARTITIONS.format(source="posts"),

@@ -27,7 +27,7 @@ from murmura.functions import fields, signal, text
 from murmura.operators import buckets, clean, dedupe, extract, lookback, report, scoring, tfidf
 from murmura.plans.analyze import SIGNAL_COLUMNS, hourly_signals
 from murmura.plans.ingest import ingest_posts
-from murmura.plans.process import process_posts
+from murmura.plans.process import clean_files, process_posts
 from murmura.sources import raw as raw_source
 from murmura.sources import tables
 from murmura.storage import materialize, scratch_path
@@ -103,12 +103,22 @@ def read_raw_jsonl(spark, sf_dir):
     return _raw_view(raw_source.read_raw(spark, path))
 
 
-def read_raw_lenient(spark, sf_dir):
+def _cut_lines(spark, sf_dir):
+    """Raw files in which some lines break off."""
     path = scratch_path(spark, "raw")
     whole = F.to_json(F.struct(*raw(spark, sf_dir).columns))
     cut = F.when(F.col("likes") == "17", F.lit('{"tweet_id": "1", "content": ')).otherwise(whole)
     raw(spark, sf_dir).select(cut.alias("value")).write.text(path)
-    return _raw_view(raw_source.read_raw(spark, path, on_bad="drop"))
+    return path
+
+
+def read_raw_lenient(spark, sf_dir):
+    return _raw_view(raw_source.read_raw(spark, _cut_lines(spark, sf_dir), on_bad="drop"))
+
+
+def bad_row_counts(spark, sf_dir):
+    """How many lines are malformed or without an id, and how many times and numbers are unreadable."""
+    return clean_files(spark, _cut_lines(spark, sf_dir))[1]
 
 
 def append_raw_jsonl(spark, sf_dir):
@@ -357,8 +367,9 @@ def tokenize(spark, sf_dir):
 
 
 def ngrams(spark, sf_dir):
-    grams = text.ngrams(text.tokenize(F.col("content_norm")), 1, 2)
-    return posts(spark, sf_dir).select("tweet_id", F.size(grams).cast("bigint").alias("n"), _digest(F.array_join(grams, "|"), "ngrams"))
+    grams = tfidf.with_ngrams(posts(spark, sf_dir).select("tweet_id", "content_norm"), "content_norm", 1, 2)
+    joined = _digest(F.array_join("_terms", "|"), "ngrams")
+    return grams.select("tweet_id", F.size("_terms").cast("bigint").alias("n"), joined)
 
 
 def term_counts(spark, sf_dir):
@@ -478,7 +489,8 @@ def engagement_histogram(spark, sf_dir):
 
 
 def sampled_histogram(spark, sf_dir):
-    sample = report.sample_rows(stored_posts(spark, sf_dir).select("tweet_id", "engagement"))
+    sample = report.sample_rows(posts(spark, sf_dir).select("tweet_id", "engagement"))
+    sample = materialize(sample, "sample")  # the edges and the counts read it
     return _histogram_view(report.histogram(sample, "engagement"))
 
 
@@ -656,6 +668,7 @@ def stream_partitioned_sink(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_raw_jsonl": read_raw_jsonl,
     "read_raw_lenient": read_raw_lenient,
+    "bad_row_counts": bad_row_counts,
     "append_raw_jsonl": append_raw_jsonl,
     "write_flat_parquet": write_flat_parquet,
     "write_partitioned_parquet": write_partitioned_parquet,

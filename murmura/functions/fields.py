@@ -79,6 +79,35 @@ def is_bad_number(c: Column) -> Column:
     return text.isNotNull() & (text != "") & text.try_cast("double").isNull()
 
 
+# Fixed value: a date, with or without a time of day, and no offset or zone behind it.
+ZONELESS = r"^[+-]?\d{4,}(-\d{1,2}){0,2}([T ][\d:.]*)?$"
+DAY_MICROS = 86_400_000_000
+
+
 def parse_timestamp(c: Column) -> Column:
-    """UTC instant of a text with or without an offset; unreadable text is null."""
-    return F.try_to_timestamp(c)
+    """UTC instant of a text with or without an offset; unreadable text is null.
+
+    A time without an offset is read as UTC whatever the session's time zone, and one without a date is
+    unreadable.
+    """
+    text = F.trim(c)
+    local = text.try_cast("timestamp_ntz")
+    minutes = F.hour(local) * 60 + F.minute(local)
+    of_day = minutes.cast("bigint") * 60_000_000 + (F.date_part(F.lit("SECOND"), local) * 1_000_000).cast("bigint")
+    in_utc = F.timestamp_micros(F.unix_date(local.cast("date")).cast("bigint") * DAY_MICROS + of_day)
+    return F.when(text.rlike(ZONELESS), in_utc).when(text.rlike(r"^[+-]?\d{4}"), text.try_cast("timestamp"))
+
+
+def _day_start(c: Column) -> Column:
+    micros = F.unix_micros(c)
+    return micros - F.pmod(micros, F.lit(DAY_MICROS))
+
+
+def utc_day(c: Column) -> Column:
+    """Midnight UTC of the day of an instant."""
+    return F.timestamp_micros(_day_start(c))
+
+
+def utc_date(c: Column) -> Column:
+    """The UTC date of an instant, like ``2026-01-31``."""
+    return F.date_from_unix_date((_day_start(c) / DAY_MICROS).cast("int")).cast("string")

@@ -75,18 +75,3 @@ def tokenize(c: Column) -> Column:
     """Lower-cased runs of two or more word characters."""
     text = F.lower(F.coalesce(c, F.lit("")))
     return F.regexp_extract_all(text, F.lit(f"{WORD}{{2,}}+"), F.lit(0))
-
-
-def ngrams_of_size(tokens: Column, n: int) -> Column:
-    """Contiguous n-grams joined by one space; empty when there are fewer than n tokens."""
-    grams = tokens
-    for size in range(2, n + 1):
-        heads = F.slice(grams, 1, F.greatest(F.size(grams) - 1, F.lit(0)))
-        tails = F.slice(tokens, size, F.greatest(F.size(tokens), F.lit(1)))
-        grams = F.zip_with(heads, tails, lambda head, tail: F.concat_ws(" ", head, tail))
-    return grams
-
-
-def ngrams(tokens: Column, min_n: int = 1, max_n: int = 2) -> Column:
-    """All n-grams of the sizes min_n to max_n."""
-    return F.concat(*[ngrams_of_size(tokens, n) for n in range(min_n, max_n + 1)])

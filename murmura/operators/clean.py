@@ -8,9 +8,7 @@ from pyspark.sql import types as T
 
 from murmura.functions import fields, text
 from murmura.operators.dedupe import dedupe_by_content, dedupe_by_id
-from murmura.schemas import CLEAN_COLUMNS
-
-COUNTS = ["replies", "retweets", "likes", "views"]
+from murmura.schemas import CLEAN_COLUMNS, COUNTS
 
 
 def _items(raw: DataFrame, name: str):

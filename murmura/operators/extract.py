@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from murmura.defaults import MIXED_TOPIC
 from murmura.functions import fields
-from murmura.operators.lookback import instant
+from murmura.operators.lookback import window_start
 
 
 def extract_posts(capture: DataFrame, strict_suffix: bool = False) -> DataFrame:
@@ -41,7 +41,7 @@ def _topics(tags: list[str]) -> Column:
 
 def topic_filter(posts: DataFrame, tags: list[str], as_of, lookback_hours: int = 24) -> DataFrame:
     """Posts that carry any of the tags, from the day on which the lookback starts."""
-    since = F.date_trunc("day", instant(as_of) - F.make_dt_interval(hours=F.lit(lookback_hours)))
+    since = fields.utc_day(window_start(as_of, lookback_hours))
     return posts.filter((F.col("timestamp") >= since) & F.arrays_overlap("hashtags", _topics(tags)))
 
 

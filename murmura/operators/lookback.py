@@ -8,16 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.defaults import LOOKBACK_HOURS, TARGET_POSTS
+from murmura.functions.fields import parse_timestamp
 from murmura.operators.dedupe import keep_first, total_order
 
+HOUR_MICROS = 3_600_000_000
+
 
 def instant(as_of) -> Column:
-    """A timestamp column from a column, datetime or text."""
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    """A timestamp column from a column, datetime, date or text; without an offset they are UTC."""
+    if isinstance(as_of, Column):
+        return as_of
+    return parse_timestamp(F.lit(as_of if isinstance(as_of, str) else as_of.isoformat()))
 
 
 def window_start(as_of, hours: int) -> Column:
-    return instant(as_of) - F.make_dt_interval(hours=F.lit(hours))
+    """So many hours before; counted in microseconds, as a day of a session's zone may have 23 or 25."""
+    return F.timestamp_micros(F.unix_micros(instant(as_of)) - hours * HOUR_MICROS)
 
 
 def fixed_lookback(posts: DataFrame, as_of, hours: int) -> DataFrame:
@@ -41,7 +47,7 @@ def widening_lookback(
     )
     chosen = F.coalesce(
         *[F.when(F.col(f"within_{h}") >= target, window_start(as_of, h)) for h in hours],
-        F.lit("0001-01-01 00:00:00").cast("timestamp"),
+        instant("0001-01-01 00:00:00"),
     )
     return posts.filter(F.col("timestamp") >= counts.select(chosen.alias("start")).scalar())
 

@@ -1,6 +1,6 @@
 """TF-IDF over 1..n-grams with a capped vocabulary.
 
-Fitting counts terms with one shuffle per n-gram size, keyed by term. Scoring has no shuffle at
+Fitting cuts texts into words once and counts terms with one shuffle per n-gram size, keyed by term. Scoring has no shuffle at
 all: the fitted vocabulary is bounded by ``max_features`` and is applied inside each row.
 """
 
@@ -15,36 +15,47 @@ from pyspark.sql import functions as F
 
 from murmura.defaults import MAX_DF, MAX_FEATURES, MIN_DF, NGRAM_RANGE
 from murmura.functions.text import tokenize
-from murmura.storage import BROADCAST_ROWS
+from murmura.storage import BROADCAST_ROWS, broadcast_if_small, materialize
 
 VOCABULARY = "term string, term_index int, df bigint, cf bigint, idf double"
 
 
-def with_ngrams(df: DataFrame, text: str, min_n: int, max_n: int, output: str = "_terms") -> DataFrame:
-    """Add the n-grams of a text column as one array."""
-    tokens = df.withColumn("_tokens", tokenize(F.col(text)))
-    sizes = []
+def tokenized(df: DataFrame, text: str) -> DataFrame:
+    """Add ``_tokens``, the words of a text column."""
+    return df.withColumn("_tokens", tokenize(F.col(text)))
+
+
+def with_grams(tokens: DataFrame, min_n: int, max_n: int, output: str = "_terms") -> DataFrame:
+    """Add the n-grams of ``_tokens`` as one array."""
+    df, sizes = tokens, []
     for n in range(min_n, max_n + 1):
         if n == 1:
             sizes.append("_tokens")
             continue
-        tokens = NGram(n=n, inputCol="_tokens", outputCol=f"_grams_{n}").transform(tokens)
+        df = NGram(n=n, inputCol="_tokens", outputCol=f"_grams_{n}").transform(df)
         sizes.append(f"_grams_{n}")
     joined = F.col(sizes[0]) if len(sizes) == 1 else F.concat(*sizes)
-    return tokens.withColumn(output, joined).drop("_tokens", *[f"_grams_{n}" for n in range(2, max_n + 1)])
+    return df.withColumn(output, joined).drop(*[f"_grams_{n}" for n in range(2, max_n + 1)])
+
+
+def with_ngrams(df: DataFrame, text: str, min_n: int, max_n: int, output: str = "_terms") -> DataFrame:
+    """Add the n-grams of a text column as one array."""
+    return with_grams(tokenized(df, text), min_n, max_n, output).drop("_tokens")
 
 
-def _explode_sorted(df: DataFrame, terms: str, *keep: str) -> DataFrame:
-    """One row per occurrence, flagged when it is the term's first in its document.
+def _occurrences(tokens: DataFrame, n: int) -> DataFrame:
+    """One row per occurrence of an n-gram, with ``is_first`` set when it is the first in its document.
 
-    In a sorted array equal terms are neighbours, so no per-document grouping is needed. The outer
-    form of explode keeps Spark from adding a filter that would compute the array again.
+    In a sorted array equal terms are neighbours: each is paired with the one before it inside the row,
+    so nothing is grouped by document and no array travels beside its terms.
     """
-    ordered = df.select(*keep, F.sort_array(terms).alias("_sorted"))
-    exploded = ordered.select(*keep, "_sorted", F.posexplode_outer("_sorted").alias("_at", "term"))
-    previous = F.get("_sorted", F.col("_at") - 1)
-    return exploded.filter(F.col("term").isNotNull()).select(
-        *keep, "term", F.when(previous == F.col("term"), 0).otherwise(1).alias("is_first")
+    ordered = with_grams(tokens.select("_tokens"), n, n).select(F.sort_array("_terms").alias("_sorted"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("_sorted"))
+    pairs = F.arrays_zip(F.col("_sorted").alias("term"), before.alias("before"))
+    rows = ordered.select(F.explode_outer(pairs).alias("_pair")).select("_pair.term", "_pair.before")
+    # The pairs are one longer than the terms, and an empty text gives a row without a term.
+    return rows.filter(F.col("term").isNotNull()).select(
+        "term", F.when(F.col("before") == F.col("term"), 0).otherwise(1).alias("is_first")
     )
 
 
@@ -71,13 +82,13 @@ def term_counts(docs: DataFrame, key: str, terms: str) -> DataFrame:
     return starts.select(key, F.explode_outer(runs).alias("_run")).select(key, "_run.term", "_run.tf")
 
 
-def corpus_counts(docs: DataFrame, text: str, n: int, frequent: DataFrame | None = None) -> DataFrame:
-    """Document and corpus frequency of every n-gram of one size.
+def corpus_counts(tokens: DataFrame, n: int, frequent: DataFrame | None = None) -> DataFrame:
+    """Document and corpus frequency of every n-gram of one size, from a table with ``_tokens``.
 
     ``frequent`` holds the (n-1)-grams that can still matter: an n-gram is never more frequent
     than the two (n-1)-grams it contains, so all others are skipped before the shuffle.
     """
-    occurrences = _explode_sorted(with_ngrams(docs.select(text), text, n, n), "_terms")
+    occurrences = _occurrences(tokens, n)
     if frequent is not None:
         known = frequent.select("term")
         head = F.substring_index("term", " ", n - 1)
@@ -149,7 +160,7 @@ class TfidfModel:
             key, norm.alias("_norm"), F.explode_outer(F.arrays_zip("_index", "_tf", "_w")).alias("_cell")
         ).filter(F.col("_cell").isNotNull())
         terms = self.vocabulary(docs.sparkSession).select("term", "term_index")
-        return cells.join(F.broadcast(terms), F.col("_cell._index") == F.col("term_index")).select(
+        return cells.join(broadcast_if_small(terms), F.col("_cell._index") == F.col("term_index")).select(
             key,
             "term",
             F.col("_cell._tf").cast("bigint").alias("tf"),
@@ -167,20 +178,19 @@ def fit_tfidf(
 ) -> TfidfModel:
     """Fit the vocabulary: document-frequency limits, then the most frequent terms, ties by term.
 
-    Runs one job per n-gram size over ``docs``, so pass a stored table. Only ``max_features``
-    rows per size reach the driver.
+    Texts are read and cut into words once; the words are stored, and each n-gram size is counted over
+    them. Only ``max_features`` rows per size reach the driver.
     """
     min_n, max_n = ngram_range
-    documents = docs.count()
+    tokens = materialize(tokenized(docs.select(text), text).select("_tokens"), "tokens")
+    documents = tokens.count()
     limits = (F.col("df") >= min_df) & (F.col("df") <= max_df * documents)
     kept: list[tuple[str, int, int]] = []
     frequent = None
-    held = []
     for n in range(min_n, max_n + 1):
-        counts = corpus_counts(docs, text, n, frequent)
+        counts = corpus_counts(tokens, n, frequent)
         if n < max_n:
-            counts = counts.persist()
-            held.append(counts)
+            counts = materialize(counts, "term-counts")
         best = counts.filter(limits).orderBy(F.desc("cf"), "term").limit(max_features).collect()
         kept = sorted(kept + [(r.term, r.df, r.cf) for r in best], key=lambda r: (-r[2], r[0]))[:max_features]
         frequent = None
@@ -188,8 +198,6 @@ def fit_tfidf(
             candidates = counts.filter(F.col("cf") >= kept[-1][2])
             if candidates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
                 frequent = candidates
-    for counts in held:
-        counts.unpersist()
     kept.sort()
     return TfidfModel(
         terms=[r[0] for r in kept],

@@ -11,7 +11,6 @@ from murmura.operators.buckets import aggregate_signals, ci_series
 from murmura.operators.report import histogram, summary, tag_means
 from murmura.operators.scoring import max_strength, score_posts, with_features, with_signal
 from murmura.operators.tfidf import fit_tfidf
-from murmura.session import require_utc
 from murmura.sources.tables import write_agg, write_scored, write_summary, write_vocabulary
 from murmura.storage import materialize
 
@@ -40,7 +39,6 @@ def hourly_signals(
     **limits,
 ) -> DataFrame:
     """Only the aggregated table. Texts are read for scoring and never stored again."""
-    require_utc(posts.sparkSession)
     scored = score_posts(posts, bullish, bearish, columns=SIGNAL_COLUMNS, **limits)
     return aggregate_signals(scored, bucket=bucket)
 
@@ -53,7 +51,6 @@ def analyze_posts(
     **limits,
 ) -> Analysis:
     """All results. ``posts`` is read several times: pass a stored table."""
-    require_utc(posts.sparkSession)
     tfidf = fit_tfidf(posts, **limits)
     features = materialize(with_features(posts, tfidf, bullish, bearish), "features")
     scored = with_signal(features, max_strength(features))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmura.defaults import LOOKBACK_HOURS, TARGET_POSTS
 from murmura.functions.fields import parse_timestamp
 from murmura.operators.clean import clean_and_dedupe
 from murmura.operators.lookback import fixed_lookback, reaching_window, window_start
-from murmura.session import require_utc
+from murmura.sources.raw import read_raw_counted
 from murmura.sources.tables import write_flat, write_partitioned, write_sample
 from murmura.storage import materialize
 
@@ -28,7 +28,6 @@ def process_posts(
     older one never displaces one inside a window. The whole history is cleaned only when no window
     reaches the target.
     """
-    require_utc(raw.sparkSession)
     recent = raw.filter(parse_timestamp(F.col("timestamp")) >= window_start(as_of, max(hours)))
     clean = materialize(clean_and_dedupe(recent), "clean-recent")
     reached = reaching_window(clean, as_of, hours, target)
@@ -37,6 +36,14 @@ def process_posts(
     return fixed_lookback(clean, as_of, reached)
 
 
+def clean_files(spark: SparkSession, path: str, pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The stored clean table of raw files read leniently, and one row with the counts of what was skipped."""
+    raw, counts = read_raw_counted(spark, path, pattern)
+    clean = materialize(clean_and_dedupe(raw), "clean")
+    found = counts.get
+    return clean, spark.createDataFrame([tuple(found.values())], ", ".join(f"{name} bigint" for name in found))
+
+
 def write_processed(posts: DataFrame, folder: str) -> str:
     """Flat table, partitioned table and sample; returns the path of the flat table."""
     flat = f"{folder}/posts"

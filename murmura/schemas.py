@@ -11,6 +11,9 @@ RAW_TEXT = """tweet_id string, username string, timestamp string, content string
     replies string, retweets string, likes string, views string,
     mentions string, hashtags string, query_tag string, permalink string, scraped_at string"""
 
+# The numbers of a post.
+COUNTS = ["replies", "retweets", "likes", "views"]
+
 CLEAN_COLUMNS = [
     "tweet_id", "username", "timestamp", "content", "content_norm", "replies", "retweets", "likes",
     "views", "mentions", "hashtags", "query_tag", "permalink", "scraped_at", "content_hash",

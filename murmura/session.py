@@ -22,15 +22,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return use_utc(spark)
 
 
-def require_utc(spark: SparkSession) -> None:
-    """Refuse to run where zone-less times would silently be read in another zone."""
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
-        raise ValueError(f"the session time zone is {zone}; call use_utc(spark) first")
-
-
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Buckets, dates and zone-less timestamps are all read as UTC."""
+    """Show times in UTC. The jobs read and cut them in UTC whatever the session's zone."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from murmura.functions import fields, resample, signal, text
+from murmura.operators import tfidf
 
 
 def column(spark, values, build, kind="string"):
@@ -96,8 +97,9 @@ def test_blend_signal(spark):
 
 def test_tokens_and_ngrams(spark):
     assert column(spark, ["a bc d_e f, gh1", "x", None], text.tokenize) == [["bc", "d_e", "gh1"], [], []]
-    grams = lambda c: text.ngrams(text.tokenize(c), 1, 3)
-    assert column(spark, ["aa bb cc", "aa", ""], grams) == [["aa", "bb", "cc", "aa bb", "bb cc", "aa bb cc"], ["aa"], []]
+    df = spark.createDataFrame([("aa bb cc",), ("aa",), ("",), (None,)], "c string")
+    grams = [r["_terms"] for r in tfidf.with_ngrams(df, "c", 1, 3).collect()]
+    assert grams == [["aa", "bb", "cc", "aa bb", "bb cc", "aa bb cc"], ["aa"], [], []]
 
 
 def test_resampling_weights_are_poisson(spark):

@@ -11,7 +11,6 @@ from murmura.operators import clean, dedupe, extract, lookback
 from murmura.operators.buckets import bucket_width
 from murmura.operators.dedupe import new_posts
 from murmura.operators.lookback import take_target
-from murmura.session import require_utc
 from murmura.schemas import CAPTURE, CLEAN_COLUMNS, RAW_TEXT
 
 FIELDS = [f.split()[0] for f in RAW_TEXT.replace("\n", " ").split(",")]
@@ -140,15 +139,6 @@ def test_bad_bucket_widths(width):
         bucket_width(width)
 
 
-def test_other_time_zones_are_refused(spark):
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
-    try:
-        with pytest.raises(ValueError, match="time zone"):
-            require_utc(spark)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 def test_survivors_do_not_depend_on_the_layout(spark):
     rows = [("1", "t", t, ["x"]) for t in "cab"] + [("2", "t", "z", None)]
     schema = "tweet_id string, scraped_at string, content string, hashtags array<string>"

@@ -62,10 +62,10 @@ def test_tfidf(spark, k, ngrams):
 
 
 def test_pruned_counts_equal_full_counts_of_frequent_terms(spark):
-    df = frame(spark, documents(200, seed=9))
-    full = {r.term: (r.df, r.cf) for r in tfidf.corpus_counts(df, "content_norm", 2).collect()}
-    words = tfidf.corpus_counts(df, "content_norm", 1).filter("cf >= 120")
-    pruned = {r.term: (r.df, r.cf) for r in tfidf.corpus_counts(df, "content_norm", 2, words).collect()}
+    df = tfidf.tokenized(frame(spark, documents(200, seed=9)), "content_norm")
+    full = {r.term: (r.df, r.cf) for r in tfidf.corpus_counts(df, 2).collect()}
+    words = tfidf.corpus_counts(df, 1).filter("cf >= 120")
+    pruned = {r.term: (r.df, r.cf) for r in tfidf.corpus_counts(df, 2, words).collect()}
     assert 0 < len(pruned) < len(full)
     assert all(full[t] == c for t, c in pruned.items())
     assert all(t in pruned for t, (_, cf) in full.items() if cf >= 120)
