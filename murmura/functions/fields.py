@@ -79,23 +79,26 @@ def is_bad_number(c: Column) -> Column:
     return text.isNotNull() & (text != "") & text.try_cast("double").isNull()
 
 
-# Fixed value: a date, with or without a time of day, and no offset or zone behind it.
-ZONELESS = r"^[+-]?\d{4,}(-\d{1,2}){0,2}([T ][\d:.]*)?$"
+# A date, and times of day; those in `ZONED` have an offset or zone behind them.
+DATE = r"^[+-]?\d{4,}-\d{1,2}-\d{1,2}"
+SECONDS, MINUTES, ZONED = rf"{DATE}[T ]\d{{1,2}}:\d{{1,2}}:[\d.]+$", rf"{DATE}[T ]\d{{1,2}}:\d{{1,2}}$", rf"{DATE}[T ][\d:.]+ ?[A-Za-z+-]"
 DAY_MICROS = 86_400_000_000
 
 
 def parse_timestamp(c: Column) -> Column:
     """UTC instant of a text with or without an offset; unreadable text is null.
 
-    A time without an offset is read as UTC whatever the session's time zone, and one without a date is
-    unreadable.
+    A time without an offset is read as UTC whatever the session's time zone: the text is completed before
+    it is read. Without a whole date it is unreadable.
     """
     text = F.trim(c)
-    local = text.try_cast("timestamp_ntz")
-    minutes = F.hour(local) * 60 + F.minute(local)
-    of_day = minutes.cast("bigint") * 60_000_000 + (F.date_part(F.lit("SECOND"), local) * 1_000_000).cast("bigint")
-    in_utc = F.timestamp_micros(F.unix_date(local.cast("date")).cast("bigint") * DAY_MICROS + of_day)
-    return F.when(text.rlike(ZONELESS), in_utc).when(text.rlike(r"^[+-]?\d{4}"), text.try_cast("timestamp"))
+    whole = (
+        F.when(text.rlike(SECONDS), F.concat(text, F.lit("Z")))
+        .when(text.rlike(ZONED), text)
+        .when(text.rlike(MINUTES), F.concat(text, F.lit(":00Z")))
+        .when(text.rlike(DATE + "$"), F.concat(text, F.lit("T00:00:00Z")))
+    )
+    return whole.try_cast("timestamp")
 
 
 def _day_start(c: Column) -> Column:

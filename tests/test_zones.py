@@ -36,7 +36,7 @@ def test_texts(spark, zone):
     got = [r[0] if r[0] is None else r[0] / 1e6 for r in df.select(F.unix_micros("t")).collect()]
     same = "2026-03-08 07:30:00"
     assert got == seconds(
-        same, same + ".25", same, "2026-03-08", "2026-03-01", None, "2026-11-01 05:30", "2026-11-01 10:30", None, None,
+        same, same + ".25", same, "2026-03-08", None, None, "2026-11-01 05:30", "2026-11-01 10:30", None, None,
         None, None, None, "1969-12-31 23:59:59.5",
     )
 
