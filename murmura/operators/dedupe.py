@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmura.storage import broadcast_if_small
+from murmura.storage import BROADCAST_ROWS
 
 # Copies of an id that agree in time are told apart by the remaining columns, so that a retried
 # task picks the same survivor.
@@ -53,10 +53,14 @@ def dedupe_by_content(posts: DataFrame) -> DataFrame:
 def new_posts(incoming: DataFrame, existing: DataFrame, order: str = "scraped_at") -> DataFrame:
     """Incoming posts with ids not stored yet, the first seen of each.
 
-    Both sides are reduced to one row per id before they meet, and on the same partitioning. The ids
-    of a batch that a count proves small are broadcast, so that of the history only they are shuffled.
+    When a count proves the batch small, its ids are broadcast and the history is only filtered by them;
+    the known ones among them, never more, are broadcast too. Otherwise both sides are reduced to one row
+    per id before they meet, on the same partitioning.
     """
-    arriving = broadcast_if_small(incoming.select("tweet_id").distinct())
-    known = existing.select("tweet_id").join(arriving, "tweet_id", "left_semi").distinct()
+    small = incoming.select("tweet_id").limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    known = existing.select("tweet_id")
+    if small:
+        known = known.join(F.broadcast(incoming.select("tweet_id")), "tweet_id", "left_semi")
+    known = known.distinct()
     seen_first = keep_first(incoming.filter(F.col("tweet_id") != ""), "tweet_id", total_order(incoming, [order]))
-    return seen_first.join(known, "tweet_id", "left_anti")
+    return seen_first.join(F.broadcast(known) if small else known, "tweet_id", "left_anti")
