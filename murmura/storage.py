@@ -32,6 +32,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one job, each of which goes as soon as the job says so."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.paths: dict[str, str] = {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write a table once and read it back, in place of one of that name."""
+        path = scratch_path(self.spark, f"{self.name}-{name}")
+        df.write.option("compression", "zstd").parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Remove tables that no later step reads."""
+        for name in names:
+            path = self.paths.pop(name, None)
+            if path is not None:
+                delete(self.spark, path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when a count proves the table small; otherwise leave the join to Spark."""
     small = df.limit(max_rows + 1).count() <= max_rows

@@ -22,7 +22,7 @@ from murmura.plans.process import process_posts, write_processed
 from murmura.schemas import CAPTURE, RAW_TEXT
 from murmura.sources.raw import append_raw, read_raw
 from murmura.sources.tables import read_posts, write_agg, write_flat, write_partitioned
-from murmura.storage import broadcast_if_small, materialize, scratch_folder
+from murmura.storage import Scratch, broadcast_if_small, materialize, scratch_folder
 from murmura.streaming import posts as streaming
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +94,16 @@ def test_storage(spark):
     assert "broadcast" not in broadcast_if_small(df, 9)._jdf.queryExecution().logical().toString().lower()
 
 
+def test_scratch_tables_go(spark, tmp_path):
+    scratch = Scratch(spark, "job")
+    df = scratch.keep(spark.range(5), "t")
+    first = scratch.paths["t"]
+    df = scratch.keep(df.where("id > 1"), "t")  # reads the table that it replaces
+    assert df.count() == 3 and not os.path.exists(first.removeprefix("file:"))
+    scratch.drop("t", "unknown")
+    assert not scratch.paths
+
+
 def test_whole_job(spark, tmp_path):
     kept = process_posts(raw(spark, SF), "2024-01-31 00:00:00", target=10)
     flat = write_processed(kept, str(tmp_path / "processed"))
