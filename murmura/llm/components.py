@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import stored
+from murmura.storage import Scratch
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -14,13 +14,14 @@ def components(links: DataFrame, name: str) -> DataFrame:
     Each round lets every node point its larger neighbours, then its smaller ones, at the smallest of
     them; after about as many rounds as the logarithm of the longest path all point at the root. Minima
     are combined on the map side and joined back, so a hub is never gathered in one task. Each round is
-    written to the shared folder, which cuts the lineage. Null ends and self-links are ignored.
+    written to the shared folder, which cuts the lineage, and the one before is removed. Null ends and self-links are ignored.
     """
-    edges = stored(
+    scratch = Scratch(links.sparkSession, f"llm-{name}")
+    edges = scratch.keep(
         links.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct(),
-        f"{name}-links",
+        "round",
     )
     before = None
     while True:
@@ -28,7 +29,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        edges = stored(_small_star(_large_star(edges)), f"{name}-round")
+        edges = scratch.keep(_small_star(_large_star(edges)), "round")
     roots = edges.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
