@@ -28,10 +28,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     read only the columns they touch.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    _write(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark's setting for removing shuffle files at the end of a query instead of when the driver collects garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(df: DataFrame, path: str) -> None:
+    """Store a table; the shuffles that made it go as soon as it is there, since nothing reads them again."""
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(RELEASE, "false")
+    conf.set(RELEASE, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(RELEASE, before)
+
+
 class Scratch:
     """Intermediate tables of one job, each of which goes as soon as the job says so."""
 
@@ -42,7 +56,7 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write a table once and read it back, in place of one of that name."""
         path = scratch_path(self.spark, f"{self.name}-{name}")
-        df.write.option("compression", "zstd").parquet(path)
+        _write(df, path)
         self.drop(name)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
