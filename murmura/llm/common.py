@@ -36,6 +36,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def set_aside(docs: DataFrame, prefix: str) -> DataFrame:
+    """The same columns in the same order, but none whose name starts like an operator's own columns.
+
+    The operator gives them their names back with ``toDF``.
+    """
+    free = "x"
+    while any(c.lower().startswith(free) for c in docs.columns):
+        free += "x"
+    return docs.toDF(*[f"{free}{i}" if c.lower().startswith(prefix) else c for i, c in enumerate(docs.columns)])
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

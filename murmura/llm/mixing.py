@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.llm.common import n_words, stored, whole
+from murmura.llm.common import n_words, set_aside, stored, whole
 
 SHARE = 1.5
 CAP = 2.0
@@ -94,10 +94,10 @@ def with_copies(docs: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFr
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row as often as it is drawn, with the columns of ``docs``."""
-    mixed = with_copies(docs, source_targets(docs, **options))
-    return mixed.withColumn("mix_copies", F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))).select(
-        *[docs[c] for c in docs.columns]
-    )
+    named = set_aside(docs, "mix_")
+    mixed = with_copies(named, source_targets(named, **options))
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("mix_copies").cast("int")))
+    return mixed.withColumn("mix_copies", copies).select(*named.columns).toDF(*docs.columns)
 
 
 def mix_report(docs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -290,11 +291,6 @@ def test_lines(spark):
     assert lines.clean(docs).columns == docs.columns
 
 
-def plain_shingles(line):
-    words = line.lower().split()
-    return {(w, words[i + 1][:4] if i + 1 < len(words) else None) for i, w in enumerate(words)}
-
-
 def test_lines_against_all_pairs(spark):
     """Every kept line differs from every other, but for the few similar pairs that no band brings together."""
     rnd = random.Random(6)
@@ -308,19 +304,8 @@ def test_lines_against_all_pairs(spark):
                 varied[at] = rnd.choice(vocabulary)
             texts.append(" ".join(varied))
     got = lines.report(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
-    parent = list(range(len(texts)))
-
-    def root(x):
-        return x if parent[x] == x else root(parent[x])
-
-    sets = [plain_shingles(t) for t in texts]
-    for a in range(len(texts)):
-        for b in range(a):
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                x, y = sorted((root(a), root(b)))
-                parent[y] = x
     removed = {r.doc_id for r in got if r.n_removed}
-    want = {i for i in range(len(texts)) if root(i) != i}
+    want = linked_lines(texts)
     assert removed <= want and len(removed) >= 0.98 * len(want)
 
 
@@ -345,6 +330,40 @@ def linked_lines(texts):
     return {i for i in range(len(texts)) if root(i) != i}
 
 
+def test_columns_named_like_the_operators_own_pass_through(spark):
+    texts = ["a first line of words here\na second line of words", "a first line of words here", None]
+    schema = SCHEMA.replace("fp string, key int, target string, place int", "llm_lines string, mix_copies int, LLM_places string, mix_size int")
+    docs = spark.createDataFrame(rows_of(texts), schema)
+    cleaned = lines.clean(docs)
+    assert cleaned.columns == docs.columns
+    assert [(r.doc_id, r.llm_lines, r["LLM_places"]) for r in cleaned.orderBy("doc_id").collect()] == [(i, "x", "y") for i in range(3)]
+    assert sorted(r.text or "" for r in cleaned.collect()) == ["", "", texts[0]]
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and {(r.mix_copies, r.mix_size) for r in mixed.collect()} == {(1, 2)}
+
+
+def test_verified_pairs_are_not_lost_to_sketches(spark):
+    """Bitmaps and sizes only rule out pairs below the similarity, also of very long lines."""
+    rnd, texts = random.Random(4), []
+    for n in (1, 3, 12, 60, 700):
+        line = "".join(rnd.choice("abcdefgh ") for _ in range(n * 6))
+        for share in (0.0, 0.01, 0.02, 0.04, 0.1):
+            texts.append("".join(rnd.choice("xyz") if rnd.random() < share else c for c in line))
+    sets = lines.shingle_sets(spark.createDataFrame(list(enumerate(texts)), "key long, line string"))
+    a, b = sets.alias("a"), sets.alias("b")
+    shared = F.size(F.array_intersect("a.hashes", "b.hashes"))
+    total = F.size("a.hashes") + F.size("b.hashes") - shared
+    rows = a.join(b, F.col("a.key") < F.col("b.key")).select(
+        F.col("a.key").alias("i"), F.col("b.key").alias("j"), (shared >= 0.8 * total).alias("similar"),
+        lines._may_be_similar("a.sketch", "b.sketch").alias("possible"),
+    ).collect()
+    plain = [character_shingles(t) for t in texts]
+    for r in rows:
+        x, y = plain[r.i], plain[r.j]
+        assert r.similar == (len(x & y) >= 0.8 * len(x | y)) and (r.possible or not r.similar)
+    assert sum(r.similar for r in rows) > 5 and sum(not r.possible for r in rows) > 100
+
+
 def test_shingles_are_windows_at_every_place(spark):
     texts = ["a", "four", "fives", "x" * 64 + "yz", "ab😀日本語 d", "".join(chr(0x4E00 + i % 211) for i in range(300)), "w " * 100 + "end"]
     frame = spark.createDataFrame([(t, t) for t in texts], "key string, line string")
@@ -438,14 +457,22 @@ def test_distance_equals_numpy(spark):
 # -- spots ----------------------------------------------------------------------------------------
 
 
-def plain_spots(text):
-    words = text.lower().encode().split()
-    words = [w.decode() for w in words]
-    common = set(spots.COMMON)
-    content = [(w, words[i - 1] if i and words[i - 1] in common else None) for i, w in enumerate(words) if w not in common]
-    found = {(a, w, content[i + 1][0] if i + 1 < len(content) else None) for i, (w, a) in enumerate(content) if a}
-    pairs = {("|", w, words[i + 1] if i + 1 < len(words) else None) for i, w in enumerate(words)}
-    return found or pairs or {text}
+def whole_spots(text):
+    """The signatures of spots and of the stretches between them."""
+
+    def bare(w):
+        kept = [i for i, c in enumerate(w) if unicodedata.category(c)[0] in "LMN"]
+        return w[kept[0] : kept[-1] + 1] if kept else w
+
+    words = [bare(w.decode()) for w in text.lower().encode().split()]
+    common = [w in set(spots.COMMON) for w in words]
+    at = [i for i, c in enumerate(common) if not c]
+    after = [words[i - 1] if i and common[i - 1] else None for i in at]
+    ahead = [words[i] for i in at[1:]] + [None]
+    found = {(a or "|", words[i], n) for k, (i, a, n) in enumerate(zip(at, after, ahead)) if a or not (k and after[k - 1])}
+    around = [True, *common, True]
+    found |= {("||", w, (words[i + 1 :] or [None])[0]) for i, w in enumerate(words) if all(around[i : i + 3])}
+    return found or {text}
 
 
 def test_spots(spark):
@@ -458,15 +485,15 @@ def test_spots(spark):
         edited = text[: len(text) - half] + after[:half]
         r = got[doc_id]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert r.near_edited == pytest.approx(jaccard(plain_spots(text), plain_spots(edited)))
-        assert r.near_next == pytest.approx(jaccard(plain_spots(text), plain_spots(after)))
+        assert r.near_edited == pytest.approx(jaccard(whole_spots(text), whole_spots(edited)))
+        assert r.near_next == pytest.approx(jaccard(whole_spots(text), whole_spots(after)))
 
 
 def test_spots_of_awkward_rows_and_classes(spark, awkward):
     got = spots.compared(awkward).collect()
     assert len(got) == awkward.count() and all(0 <= r.near_next <= 1 and r.fingerprint for r in got)
     docs = documents(spark)
-    data = {r.doc_id: plain_spots(r.text) for r in docs.collect()}
+    data = {r.doc_id: whole_spots(r.text) for r in docs.collect()}
     parent = {d: d for d in data}
 
     def root(x):
@@ -480,24 +507,6 @@ def test_spots_of_awkward_rows_and_classes(spark, awkward):
     assert {(r.doc_id, r.class_id) for r in spots.near_duplicates(docs).collect()} == {(d, root(d)) for d in data}
 
 
-def whole_spots(text):
-    """The signatures of spots and of the stretches between them."""
-
-    def bare(w):
-        kept = [i for i, c in enumerate(w) if unicodedata.category(c)[0] in "LMN"]
-        return w[kept[0] : kept[-1] + 1] if kept else w
-
-    words = [bare(w.decode()) for w in text.lower().encode().split()]
-    common = [w in set(spots.COMMON) for w in words]
-    at = [i for i, c in enumerate(common) if not c]
-    after = [words[i - 1] if i and common[i - 1] else None for i in at]
-    ahead = [words[i] for i in at[1:]] + [None]
-    found = {(a or "|", words[i], n) for k, (i, a, n) in enumerate(zip(at, after, ahead)) if a or not (k and after[k - 1])}
-    around = [True, *common, True]
-    found |= {("||", w, (words[i + 1 :] or [None])[0]) for i, w in enumerate(words) if all(around[i : i + 3])}
-    return found or {text}
-
-
 def test_signatures_cover_the_whole_text(spark):
     rnd = random.Random(3)
     stretch = lambda n: " ".join(f"word{rnd.randint(0, 9999)}" for _ in range(n))
