@@ -6,8 +6,9 @@ inside a payload does not fit itself. A payload is ``id flag (u8), doc_id (i64),
 (u8), token ids``. Spark's text writer puts down one record a row, so the files are committed as any
 other table: a retried or duplicated task leaves no half file, on any file system Spark can write to.
 
-Files follow each other in ascending order of ``doc_id``; the index has file, position and size of each
-record, so that readers can fetch records in any order.
+Files follow each other in ascending order of ``doc_id``; the number of files grows with the text, not
+their size. The index, a table beside the files, has file, position and size of each record, so that readers
+can fetch records in any order.
 
 Cases: a null text counts as empty, its record holds the end id alone; null ids come first; rows that
 repeat an id follow each other, ordered by their text; further columns are not read. An empty table
@@ -19,24 +20,32 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from murmura.llm.bpe import byte_alphabet, piece_pattern, vocabulary_text
-from murmura.llm.common import stored, whole
+from murmura.llm.bpe import vocabulary_text
+from murmura.llm.common import whole
 from murmura.storage import scratch_path
 
 END_ID = 0
+#: Bytes of text that one file of records is made of, about: more text makes more files, not larger ones.
+FILE_BYTES = 64 << 20
 HEAD = struct.Struct("<QI")
 PAYLOAD = struct.Struct("<BqB")
-#: Entries of a worker's memos of encoded units and pieces; a full one is emptied.
-MEMO = 600_000
+#: Entries of a worker's memo of encoded pieces, and their characters; a full one is emptied.
+MEMO, MEMO_CHARS = 600_000, 12 << 20
+#: Bytes of text that a worker cuts at once, and new pieces that the library gets as one text.
+TOGETHER, RUN = 8 << 20, 2_000
+#: The mark between units while they are cut, the plain signs, digits and line end, and (a fixed value) all blanks.
+MARK = "\0"
+SIGNS = r"!-&(-@\[-`{-~\n"
+BLANKS = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 INDEX = "file string, doc_id long, position long, size long, n_tokens long, before long, ids_crc32 long"
 
@@ -73,12 +82,14 @@ def parse(content: bytes) -> Iterator[tuple[int | None, int, int, np.ndarray]]:
 
 
 class LibraryEncoder:
-    """The tokenizers library, asked once for each different unit of a worker's texts.
-
-    A unit starts at a blank that comes right before something other than a blank; no token spans
-    that place, so the ids of a text are those of its units one after another. The unit is cut into the
-    pieces that merges never cross and the library's model merges each. Texts that hold a special string
-    go to the library whole.
+    """The tokenizers library, asked once for each different piece of a worker's texts.
+
+    A unit starts at a blank that comes right before something other than a blank, and is cut once more
+    behind each plain letter that a plain sign, digit or line end follows. No token spans those places, so the
+    ids of a text are those of its pieces one after another. Arrow cuts and numbers the different units, and of
+    those the different pieces; pieces not met before are written one after another for the library, and the
+    ids that come back are told apart by the bytes their tokens stand for. Texts that hold a special string
+    or the mark that cuts go to the library whole.
     """
 
     def __init__(self, spec: str):
@@ -86,62 +97,83 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.inner = re.compile(r" (?=\s|$)")
-        self.pattern = piece_pattern()
-        self.alphabet = {b: c for c, b in byte_alphabet().items()}
+        self.whole = "|".join(re.escape(s) for s in [MARK, *special])
+        self.size = np.zeros(self.library.get_vocab_size(), "<i4")
+        for token, i in self.library.get_vocab().items():
+            self.size[i] = len(token)  # one character a byte
+        self.tail = re.compile(f"[{SIGNS}]")
         self.memo: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _ask(self, text: str) -> bytes:
-        """The library's ids of a whole text."""
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _unit(self, unit: str) -> bytes:
-        """Ids of a unit: the library's merges, asked once for each different piece of it."""
-        memo, out = self.pieces, []
-        for piece in self.pattern.findall(unit):
-            ids = memo.get(piece)
-            if ids is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                spelled = piece.encode().decode("latin-1").translate(self.alphabet)
-                ids = memo[piece] = array("I", [t.id for t in self.library.model.tokenize(spelled)]).tobytes()
-            out.append(ids)
-        return b"".join(out)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, four bytes each."""
-        split: list[list[str] | None] = []
-        for text in texts:
-            if self.special and self.special.search(text):
-                split.append(None)
-            elif self.inner.search(text) or not text:
-                split.append(_units(text))
+        self.held = 0
+
+    def _ask(self, texts: list[str]) -> list[np.ndarray]:
+        """The library's ids of whole texts."""
+        return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Put the ids of new pieces into the memo."""
+        row, alone = [], []
+        for piece in pieces:
+            if piece[:1] == " " and len(piece) > 1 and not piece[1].isspace():
+                row.append(piece)
+            elif self.tail.match(piece):
+                row += (" a", piece)
             else:
-                first, *rest = text.split(" ")
-                split.append([first, *[" " + part for part in rest]])
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for unit in {u for units in split if units for u in units if u not in memo}:
-            memo[unit] = self._unit(unit)
-        return [
-            self._ask(text) if units is None else b"".join([memo[u] for u in units])
-            for text, units in zip(texts, split)
-        ]
-
-
-def _units(text: str) -> list[str]:
-    """Units of a text in which blanks stand side by side."""
-    units = [""]
-    for i, part in enumerate(text.split(" ")):
-        if i and part and not part[0].isspace():
-            units.append(" " + part)
-        else:
-            units[-1] += " " * bool(i) + part
-    return units
+                alone.append(piece)
+        runs = [row[at : at + RUN] for at in range(0, len(row), RUN)]
+        for i, run in enumerate(runs):
+            if self.tail.match(run[0]):  # its letter ended the run before
+                runs[i] = [" a", *run]
+        for run, ids in zip(runs, self._ask(["".join(run) for run in runs])):
+            ends = np.cumsum([len(piece.encode()) for piece in run])
+            told = np.cumsum(self.size[ids])
+            cuts = np.searchsorted(told, ends) + 1
+            if told[-1] != ends[-1] or (told[cuts - 1] != ends).any():
+                raise ValueError("tokens of this vocabulary do not keep to pieces")
+            data, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            self.memo.update(zip(run, (data[x:y] for x, y in zip(cuts, cuts[1:]))))
+        self.memo.update(zip(alone, (ids.tobytes() for ids in self._ask(alone))))
+        self.held += sum(map(len, pieces))
+
+    def _pieces(self, units: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units one after another, and where each one's start and end."""
+        lists = pc.split_pattern(pc.replace_substring_regex(units, f"([A-Za-z])([{SIGNS}])", r"\1" + MARK + r"\2"), MARK)
+        numbered = lists.flatten().dictionary_encode()
+        distinct = numbered.dictionary.to_pylist()
+        if len(self.memo) > MEMO or self.held > MEMO_CHARS:
+            self.memo.clear()
+            self.held = 0
+        self._learn([piece for piece in distinct if piece not in self.memo])
+        known = list(map(self.memo.__getitem__, distinct))
+        bounds = np.cumsum([0, *map(len, known)]) // 4
+        return spread(np.frombuffer(b"".join(known), "<u4"), bounds, numbered, lists)
+
+    def encode(self, texts: pa.StringArray | list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        apart = pc.match_substring_regex(texts, self.whole)
+        doubled = pc.match_substring_regex(texts, f" [{BLANKS}]")
+        marked = pc.replace_substring(texts, " ", MARK + " ")
+        if pc.any(doubled).as_py():
+            single = pc.replace_substring_regex(texts, f" ([^{BLANKS}])", MARK + r" \1")
+            marked = pc.if_else(doubled, single, marked)
+        lists = pc.split_pattern(pc.if_else(apart, "", marked), MARK)
+        numbered = lists.flatten().dictionary_encode()
+        ids, bounds = spread(*self._pieces(numbered.dictionary), numbered, lists)
+        out = [ids[x:y] for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        places = np.flatnonzero(apart).tolist()
+        for place, found in zip(places, self._ask([texts[i].as_py() for i in places])):
+            out[place] = found
+        return out
+
+
+def spread(ids: np.ndarray, bounds: np.ndarray, numbered: pa.DictionaryArray, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and bounds of ``lists`` from those of their different members, which are ``numbered``."""
+    of = numbered.indices.to_numpy()
+    counts = np.diff(bounds)[of]
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype("<i8")
+    found = ids[np.repeat(bounds[of] - ends[:-1], counts) + np.arange(ends[-1])]
+    offsets = lists.offsets.to_numpy()
+    return found, ends[offsets - offsets[0]]
 
 
 _ENCODERS: dict[int, LibraryEncoder] = {}
@@ -155,34 +187,61 @@ def encoder_of(spec: str) -> LibraryEncoder:
     return _ENCODERS[key]
 
 
+def slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Places and numbers of rows that are encoded together: up to ``TOGETHER`` bytes, or one text."""
+    sums = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = sums[at - 1] if at else 0
+        n = max(1, int(np.searchsorted(sums, before + TOGETHER, "right")) - at)
+        yield at, n
+        at += n
+
+
+def n_files(docs: DataFrame) -> int:
+    """Files of records: so many that one is made of about ``FILE_BYTES``, of little text four for each core."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return max(size // FILE_BYTES + 1, min(size // (FILE_BYTES // 8) + 1, 4 * cores))
+
+
 def write_records(docs: DataFrame, vocabulary: str, folder: str) -> None:
-    """Encode and write all documents in ascending order of ``doc_id``, one pass over the texts."""
+    """Encode and write all documents in ascending order of ``doc_id``, then their index beside them."""
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(vocabulary_text(spark, vocabulary))
-    end = np.array([END_ID], dtype="<u4").tobytes()
+    end = np.array([END_ID], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(spec.value)
         width = 2 if encoder.library.get_vocab_size() <= 1 << 16 else 4
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                encoded = encoder.encode(part.column(1).to_pylist())
+            texts = batch.column(1).cast(pa.string())
+            for at, n in slices(texts):
+                encoded = encoder.encode(texts.slice(at, n))
                 frames = [
-                    record(doc_id, np.frombuffer(ids + end, "<u4"), width)
-                    for doc_id, ids in zip(part.column(0).to_pylist(), encoded)
+                    record(doc_id, np.concatenate([ids, end]), width)
+                    for doc_id, ids in zip(batch.column(0).slice(at, n).to_pylist(), encoded)
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
 
-    ordered = (
-        docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
-        .repartitionByRange(F.col("doc_id"), F.xxhash64("text"))
-        .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
+    ordered = chosen.repartitionByRange(n_files(chosen), F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions(
+        "doc_id", F.xxhash64("text"), "text"
     )
     ordered.mapInArrow(run, "record binary").select(F.col("record").cast("string").alias("value")).write.text(folder)
+    scan(spark, folder).write.parquet(index_folder(folder))
+
+
+def index_folder(folder: str) -> str:
+    return folder.rstrip("/") + "-index"
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The offset index that lies beside the records."""
+    return spark.read.schema(INDEX).parquet(index_folder(folder))
+
+
+def scan(spark: SparkSession, folder: str) -> DataFrame:
     """The offset index, read from the record files themselves; every checksum is compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +266,9 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 def with_starts(index: DataFrame) -> DataFrame:
     """The index with ``start``, the ids in all records before: sums per file, then over the files."""
     ends = index.groupBy("file").agg(F.sum("n_tokens").alias("in_file"))
-    order = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # By number: names are padded to five digits, and sort wrongly from the hundred thousandth file on.
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    order = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.select("file", F.coalesce(F.sum("in_file").over(order), F.lit(0)).alias("file_start"))
     return index.join(starts, "file").withColumn("start", F.col("file_start") + F.col("before")).drop("file_start")
 
@@ -216,8 +277,7 @@ def written_and_read(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Write the records and their index, and report each document as the files have it."""
     folder = scratch_path(docs.sparkSession, "llm-records")
     write_records(docs, vocabulary, folder)
-    index = stored(read_index(docs.sparkSession, folder), "records-index")
-    return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32", "position", "size")
+    return with_starts(read_index(docs.sparkSession, folder)).select("doc_id", "start", "n_tokens", "ids_crc32", "position", "size")
 
 
 def shuffled(spark: SparkSession, folder: str, index: DataFrame, seed: int) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -167,6 +168,54 @@ def test_records_round_trip(spark, awkward, library):
     assert not any(by_id.values()) and [r[0] for r in got] == [r.doc_id for r in data]
 
 
+def test_pieces_are_the_librarys(library):
+    """Texts of awkward blanks and signs, cut into pieces, against whole calls of the library."""
+    with open(VOCABULARY) as file:
+        encoder = records.LibraryEncoder(file.read())
+    draw = random.Random(5)
+    parts = [" ", " ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u3000", "\x1c", "a", "B", "zé", "ß", "1", "'s", "'", ".", "###", "日本", "\0", "<|endoftext|>", "a\u0301"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 16))) for _ in range(1500)]
+    encoded = encoder.encode(pa.array(texts))
+    assert [x.tolist() for x in encoded] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts).slice(700, 50))] == [x.tolist() for x in encoded[700:750]]
+    assert encoder.encode(pa.array([], pa.string())) == []
+
+
+def test_a_full_memo_is_emptied(library, monkeypatch):
+    monkeypatch.setattr(records, "MEMO", 10)
+    with open(VOCABULARY) as file:
+        encoder = records.LibraryEncoder(file.read())
+    for text in AWKWARD[3:] * 2:
+        assert encoder.encode(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_slices_cover_all_rows(monkeypatch):
+    monkeypatch.setattr(records, "TOGETHER", 10)
+    texts = pa.array(["x" * n for n in (0, 3, 7, 1, 40, 0, 9, 2)])
+    assert list(records.slices(texts)) == [(0, 3), (3, 1), (4, 1), (5, 2), (7, 1)]
+    assert list(records.slices(pa.array([], pa.string()))) == []
+
+
+def test_files_follow_each_other_by_number(spark):
+    """From the hundred thousandth file on names don't sort as their numbers do."""
+    numbers = [99_998, 99_999, 100_000, 100_001, 1_000_000]
+    rows = [(f"part-{n:05d}-1f.c000.txt", k, 0, 1, 10 + k, 0, 0) for k, n in enumerate(numbers)]
+    got = records.with_starts(spark.createDataFrame(rows, records.INDEX)).orderBy("doc_id").select("start").collect()
+    assert [r["start"] for r in got] == [0, 10, 21, 33, 46]
+
+
+def test_more_text_makes_more_files(spark, monkeypatch):
+    monkeypatch.setattr(records, "FILE_BYTES", 1000)
+    docs = spark.createDataFrame([(i, f"text {i} " * 20) for i in range(400)], "doc_id long, text string")
+    size = docs.selectExpr("sum(octet_length(text))").first()[0]
+    assert records.n_files(docs) == size // 1000 + 1
+    folder = scratch_path(spark, "test-many-files")
+    records.write_records(docs, VOCABULARY, folder)
+    index = records.read_index(spark, folder)
+    assert index.select("file").distinct().count() > 20 and index.count() == 400
+    assert sorted(records.scan(spark, folder).collect()) == sorted(index.collect())
+
+
 def test_damaged_records_are_refused_and_any_order_can_be_read(spark):
     whole = records.record(7, np.array([1, 2, 3], "<u4"), 2) + b"\n" + records.record(None, np.array([70_000], "<u4"), 4) + b"\n"
     assert [(d, ids.tolist()) for d, _, _, ids in records.parse(whole)] == [(7, [1, 2, 3]), (None, [70_000])]
