@@ -39,9 +39,9 @@ FILE_BYTES = 64 << 20
 HEAD = struct.Struct("<QI")
 PAYLOAD = struct.Struct("<BqB")
 #: Entries of a worker's memo of encoded pieces, and their characters; a full one is emptied.
-MEMO, MEMO_CHARS = 600_000, 12 << 20
+MEMO, MEMO_CHARS = 600_000, 8 << 20
 #: Bytes of text that a worker cuts at once, and new pieces that the library gets as one text.
-TOGETHER, RUN = 8 << 20, 2_000
+TOGETHER, RUN = 3 << 20, 2_000
 #: The mark between units while they are cut, the plain signs, digits and line end, and (a fixed value) all blanks.
 MARK = "\0"
 SIGNS = r"!-&(-@\[-`{-~\n"
@@ -105,9 +105,11 @@ class LibraryEncoder:
         self.memo: dict[str, bytes] = {}
         self.held = 0
 
-    def _ask(self, texts: list[str]) -> list[np.ndarray]:
-        """The library's ids of whole texts."""
-        return [np.array(e.ids, dtype="<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ask(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The library's ids of whole texts, few at a time: its own results are large."""
+        for at in range(0, len(texts), 4):
+            for found in self.library.encode_batch_fast(texts[at : at + 4], add_special_tokens=False):
+                yield np.array(found.ids, dtype="<u4")
 
     def _learn(self, pieces: list[str]) -> None:
         """Put the ids of new pieces into the memo."""
@@ -171,7 +173,9 @@ def spread(ids: np.ndarray, bounds: np.ndarray, numbered: pa.DictionaryArray, li
     of = numbered.indices.to_numpy()
     counts = np.diff(bounds)[of]
     ends = np.concatenate([[0], np.cumsum(counts)]).astype("<i8")
-    found = ids[np.repeat(bounds[of] - ends[:-1], counts) + np.arange(ends[-1])]
+    places = np.repeat((bounds[of] - ends[:-1]).astype("<i4"), counts)  # a text is below 2 GB
+    places += np.arange(ends[-1], dtype="<i4")
+    found = ids[places]
     offsets = lists.offsets.to_numpy()
     return found, ends[offsets - offsets[0]]
 
@@ -223,6 +227,7 @@ def write_records(docs: DataFrame, vocabulary: str, folder: str) -> None:
                     for doc_id, ids in zip(batch.column(0).slice(at, n).to_pylist(), encoded)
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["record"])
+                pa.default_memory_pool().release_unused()
 
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
     ordered = chosen.repartitionByRange(n_files(chosen), F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions(
