@@ -2,12 +2,15 @@
 
 Each document has counts of words, characters, symbols, repeated lines and repeated word windows; two
 plain rules fail the worst. The others' transformed statistics get a minimum-covariance-determinant
-estimate per language and source: from a coordinate-wise start, concentration steps refit mean and
-covariance on the three quarters of rows nearest by Mahalanobis distance. Distances come from
-Cholesky factors written as column arithmetic; a document far beyond the chi-squared range goes.
+estimate per language and source, and also per language and over all: concentration steps refit mean and
+covariance on the three quarters of rows nearest by Mahalanobis distance. Each group takes two steps from three
+starts (medians with quartile ranges, all rows, the rows inside the quartile ranges); the one of the smallest
+determinant goes on until no group's determinant falls any more. Distances come from Cholesky factors written as
+column arithmetic; a document far beyond the chi-squared range goes.
 
-Groups of fewer than ``GROUP_ROWS`` rows share one estimate. Sums per group are combined on the map
-side, so a group of a third of all rows is no burden to one task.
+A group keeps its own centre. Its covariance is mixed with its language's, and that with the one over all,
+by weights ``n / (n + SHRINKAGE)``, so that no number of rows changes the way a group is judged. Sums per
+group are combined on the map side, so a group of a third of all rows is no burden to one task.
 
 Cases: a null text counts as empty and fails the base rule; null languages and sources are groups of
 their own; rows that repeat an id each get a row; further columns are not read; groups whose statistics
@@ -30,12 +33,18 @@ MIN_WORDS = 10
 COVERAGE, CHI_COVERAGE = 0.75, 6.6257
 #: Squared distance beyond which a document goes: chi-squared (5), about one in a million.
 CUTOFF = 35.9
-STEPS = 3
-GROUP_ROWS = 100
+#: Concentration steps from every start, most steps after them (few are needed), and a fall in the logarithm of a determinant.
+STEPS, MOST_STEPS, FALL = 2, 12, 1e-3
+#: Rows of a group at which its own covariance and the wider one weigh the same.
+SHRINKAGE = 20
 #: Floors of the standard deviations of the five statistics, in their order.
 FLOORS = (0.25, 0.08, 0.06, 0.2, 0.15)
 DIMENSIONS = len(FLOORS)
 X = [f"x{i}" for i in range(DIMENSIONS)]
+#: The entries of a covariance, above the diagonal and on it.
+C = [f"c{i}{j}" for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
+#: The name of the group of all rows.
+ALL = "all"
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -131,46 +140,104 @@ def _range(rows: DataFrame) -> DataFrame:
     return rows.groupBy("group").agg(F.percentile_approx("distance", COVERAGE, 2000).alias("range"))
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Per ``group`` of ``rows``: means, factor and ``range``, the distance within which ``COVERAGE`` lies."""
+def _moments(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("group").agg(
+        *[F.avg(x).alias(f"m{i}") for i, x in enumerate(X)],
+        *[F.covar_pop(X[i], X[j]).alias(f"c{i}{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)],
+    )
+
+
+def _log_determinant() -> Column:
+    return reduce(Column.__add__, [2 * F.log(f"l{i}{i}") for i in range(DIMENSIONS)])
+
+
+def _step(rows: DataFrame, moments: DataFrame) -> DataFrame:
+    """Moments of the three quarters of each group that lie nearest by the moments before."""
+    distances = _distances(rows, _factor(moments))
+    near = distances.join(broadcast_if_small(stored(_range(distances), "outliers-range"), 20_000), "group")
+    return stored(_moments(near.where("distance <= range")), "outliers-step")
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Moments of three starts; the number of the start comes before the name of the group."""
     quartiles = rows.groupBy("group").agg(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 2000).alias(f"q{i}") for i, x in enumerate(X)])
-    start = quartiles.select(
+    quartiles = stored(quartiles, "outliers-quartiles")
+    spread = [F.col(f"q{i}")[2] - F.col(f"q{i}")[0] for i in range(DIMENSIONS)]
+    plain = quartiles.select(
         "group",
         *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(DIMENSIONS)],
-        *[
-            (F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"c{i}{j}")
-            for i in range(DIMENSIONS)
-            for j in range(i, DIMENSIONS)
-        ],
+        *[(F.pow(spread[int(c[1])] / 1.349, F.lit(2.0)) if c[1] == c[2] else F.lit(0.0)).alias(c) for c in C],
     )
-    estimate = stored(_factor(start), "outliers-start")
+    inside = [F.col(x).between(F.col(f"q{i}")[0] - F.lit(FLOORS[i]), F.col(f"q{i}")[2] + F.lit(FLOORS[i])) for i, x in enumerate(X)]
+    middle = rows.join(broadcast_if_small(quartiles, 20_000), "group").where(reduce(Column.__and__, inside))
+    named = [
+        table.withColumn("group", F.concat(F.lit(f"{k}"), "group")) for k, table in enumerate([plain, _moments(rows), _moments(middle)])
+    ]
+    return stored(reduce(DataFrame.unionByName, named), "outliers-starts")
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """Per ``group`` of ``rows``: mean and covariance of the three quarters whose covariance has the smallest determinant found."""
+    moments = _starts(rows)
+    thrice = rows.select(F.explode(F.array(*[F.concat(F.lit(f"{k}"), "group") for k in range(3)])).alias("group"), *X)
     for _ in range(STEPS):
-        distances = _distances(rows, estimate)
-        near = distances.join(broadcast_if_small(stored(_range(distances), "outliers-range"), 20_000), "group")
-        moments = near.where("distance <= range").groupBy("group").agg(
-            *[F.avg(x).alias(f"m{i}") for i, x in enumerate(X)],
-            *[F.covar_pop(X[i], X[j]).alias(f"c{i}{j}") for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)],
-        )
-        estimate = stored(_factor(moments), "outliers-step")
-    return estimate.join(_range(_distances(rows, estimate)), "group")
+        moments = _step(thrice, moments)
+    by_start = _factor(moments).select("group", _log_determinant().alias("size"))
+    best = by_start.groupBy(F.expr("substring(group, 2)").alias("name")).agg(F.min_by("group", F.struct("size", "group")).alias("group"))
+    moments = stored(moments.join(best, "group").drop("group").withColumnRenamed("name", "group"), "outliers-best")
+    for _ in range(MOST_STEPS):
+        after = _step(rows, moments)
+        old = _factor(moments).select("group", _log_determinant().alias("old"))
+        new = _factor(after).select("group", _log_determinant().alias("new"))
+        fell = old.join(new, "group").withColumn("fell", F.col("new") < F.col("old") - FALL)
+        if not fell.where("fell").limit(1).count():
+            break
+        # A group whose determinant no longer falls keeps the estimate it has.
+        better = broadcast_if_small(stored(fell.select("group", "fell"), "outliers-fell"), 20_000)
+        kept = moments.join(better, "group").where("not fell").drop("fell")
+        moments = stored(kept.unionByName(after.join(better, "group").where("fell").drop("fell")), "outliers-kept")
+    return moments
+
+
+def shrunk(groups: DataFrame, moments: DataFrame) -> DataFrame:
+    """Per ``group`` its ``weight``, own means, and covariance mixed with those of its ``wide`` group and of all.
+
+    ``groups`` has ``group``, ``wide`` and their numbers of rows ``n`` and ``wide_n``.
+    """
+    named = lambda p: moments.select(F.col("group").alias(f"{p}group"), *[F.col(c).alias(f"{p}{c}") for c in C])
+    wider = groups.select(F.col("wide").alias("wgroup"), "wide_n").distinct().join(named("w"), "wgroup")
+    over = moments.where(F.col("group") == ALL).select(*[F.col(c).alias(f"a{c}") for c in C], F.lit(ALL).alias("all"))
+    wider = wider.withColumn("all", F.lit(ALL)).join(F.broadcast(over), "all")  # one row
+    mixed = lambda n, own, other: (F.col(n) * F.col(own) + SHRINKAGE * F.col(other)) / (F.col(n) + SHRINKAGE)
+    wider = wider.select(F.col("wgroup").alias("wide"), *[mixed("wide_n", f"w{c}", f"a{c}").alias(f"w{c}") for c in C])
+    own = groups.join(moments, "group").join(wider, "wide")
+    return own.select(
+        "group",
+        (F.col("n") / (F.col("n") + SHRINKAGE)).alias("weight"),
+        *[f"m{i}" for i in range(DIMENSIONS)],
+        *[mixed("n", c, f"w{c}").alias(c) for c in C],
+    )
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """Per row: ``doc_id``, the counts, ``base_failed`` and ``kept``."""
-    rows = stored(with_statistics(counted(docs)), "outliers-statistics")
-    passed = rows.where("not base_failed")
-    key = F.to_json(F.struct("lang", "source"))
-    groups = passed.groupBy(key.alias("key")).count().where(F.col("count") >= GROUP_ROWS).select("key")
-    named = rows.withColumn("key", key).join(
-        broadcast_if_small(groups.withColumn("group", F.col("key")), 20_000), "key", "left"
-    )
-    named = stored(named.withColumn("group", F.coalesce("group", F.lit(""))), "outliers-grouped")
-    estimate = stored(estimates(named.where("not base_failed").select("group", *X)), "outliers-estimate")
-    verdict = _distances(named.where("not base_failed"), estimate.drop("range")).join(
-        broadcast_if_small(estimate.select("group", "range"), 20_000), "group"
+    rows = with_statistics(counted(docs)).withColumns(
+        {"group": F.concat(F.lit("s"), F.to_json(F.struct("lang", "source"))), "wide": F.concat(F.lit("l"), F.to_json(F.struct("lang")))}
     )
-    # The range is scaled to that of the chi-squared distribution, so that the cutoff means the same everywhere.
-    scale = F.lit(CHI_COVERAGE) / F.greatest(F.col("range"), F.lit(CHI_COVERAGE / 4))
+    rows = stored(rows, "outliers-statistics")
+    passed = rows.where("not base_failed").select("group", "wide", *X)
+    levels = passed.select(F.explode(F.array("group", "wide", F.lit(ALL))).alias("group"), *X)
+    groups = passed.groupBy("group", "wide").agg(F.count("*").alias("n"))
+    wider = groups.groupBy("wide").agg(F.sum("n").alias("wide_n"))
+    mixed = stored(shrunk(stored(groups.join(wider, "wide"), "outliers-groups"), estimates(levels)), "outliers-shrunk")
+    factor = stored(_factor(mixed), "outliers-estimate")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    kept = verdict.select(*columns, (F.col("distance") * scale <= CUTOFF).alias("kept"))
-    return kept.unionByName(named.where("base_failed").select(*columns, F.lit(False).alias("kept")))
+    measured = stored(_distances(rows.where("not base_failed").select("group", *columns, *X), factor), "outliers-distances")
+    ranges = _range(measured).join(mixed.select("group", "weight"), "group")
+    # The range is scaled to that of the chi-squared distribution, so that the cutoff means the same everywhere.
+    # A few rows say little about their range, and count by their weight.
+    own = F.col("weight") * F.col("range") + (1 - F.col("weight")) * F.lit(CHI_COVERAGE)
+    scale = F.lit(CHI_COVERAGE) / F.greatest(own, F.lit(CHI_COVERAGE / 4))
+    verdict = measured.join(broadcast_if_small(stored(ranges.select("group", scale.alias("scale")), "outliers-scale"), 20_000), "group")
+    kept = verdict.select(*columns, (F.col("distance") * F.col("scale") <= CUTOFF).alias("kept"))
+    return kept.unionByName(rows.where("base_failed").select(*columns, F.lit(False).alias("kept")))

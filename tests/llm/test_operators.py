@@ -1,6 +1,7 @@
 """Operators against brute force, and on awkward rows."""
 
 import hashlib
+import itertools
 import random
 import struct
 import unicodedata
@@ -503,6 +504,38 @@ def test_distance_equals_numpy(spark):
         assert r.distance == pytest.approx(z @ np.linalg.inv(cov) @ z)
 
 
+def test_smallest_determinant_against_all_subsets(spark):
+    """Groups of twelve rows, three of them far out: the estimate is that of the best nine rows of all 220 choices."""
+    rnd, rows, best = np.random.default_rng(3), [], {}
+    floors = np.diag(np.square(outliers.FLOORS))
+    for g in range(6):
+        x = rnd.normal(size=(12, 5)) * np.array(outliers.FLOORS) * 2
+        x[9:] += rnd.choice([-1, 1], size=(3, 5)) * np.array(outliers.FLOORS) * 40
+        x = x[rnd.permutation(12)]
+        rows += [(f"g{g}", *map(float, v)) for v in x]
+        size = lambda c: np.linalg.slogdet(np.cov(x[list(c)], rowvar=False, bias=True) + floors)[1]  # noqa: E731, B023
+        chosen = min(itertools.combinations(range(12), 9), key=size)
+        best[f"g{g}"] = (size(chosen), x[list(chosen)].mean(0))
+    table = spark.createDataFrame(rows, "group string, " + ", ".join(f"x{i} double" for i in range(5)))
+    found = outliers.estimates(table)
+    assert {r.group for r in found.collect()} == set(best)
+    for r in found.join(outliers._factor(found).select("group", outliers._log_determinant().alias("size")), "group").collect():
+        assert r["size"] == pytest.approx(best[r.group][0], abs=1e-6)
+        assert [r[f"m{i}"] for i in range(5)] == pytest.approx(best[r.group][1])
+
+
+def test_small_groups_are_judged_by_their_own_centre(spark):
+    """A small group of another kind stays, and 99, 100 and 101 rows are judged alike."""
+    rnd = random.Random(12)
+    words = lambda n: " ".join("x" * rnd.randint(2, 9) + str(rnd.random()) for _ in range(n))
+    for n in (20, 99, 100, 101):
+        rows = [(i, words(rnd.randint(80, 300)), "en", "s") for i in range(90)]
+        rows += [(1000 + i, "".join(f"{k}#$%{rnd.random()}| " for k in range(rnd.randint(80, 300))), "de", "t") for i in range(n)]
+        got = outliers.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+        assert sum(r.kept for r in got if r.doc_id >= 1000) >= n - 1
+        assert sum(r.kept for r in got if r.doc_id < 1000) >= 88
+
+
 # -- spots ----------------------------------------------------------------------------------------
 
 
