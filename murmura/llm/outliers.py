@@ -10,7 +10,9 @@ column arithmetic; a document far beyond the chi-squared range goes.
 
 A group keeps its own centre. Its covariance is mixed with its language's, and that with the one over all,
 by weights ``n / (n + SHRINKAGE)``, so that no number of rows changes the way a group is judged. Sums per
-group are combined on the map side, so a group of a third of all rows is no burden to one task.
+group are combined on the map side, so a group of a third of all rows is no burden to one task. The estimates
+are stored tables, so that Spark broadcasts them when their measured size is below its threshold, and else joins by
+group and splits large ones.
 
 Cases: a null text counts as empty and fails the base rule; null languages and sources are groups of
 their own; rows that repeat an id each get a row; further columns are not read; groups whose statistics
@@ -25,7 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmura.llm.common import WORD, stored, whole, words
-from murmura.storage import broadcast_if_small
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -109,8 +110,8 @@ def with_statistics(counts: DataFrame) -> DataFrame:
     )
 
 
-def _factor(moments: DataFrame) -> DataFrame:
-    """``group``, means and the Cholesky factor of the floored covariance."""
+def _factor(moments: DataFrame, *also: str) -> DataFrame:
+    """``group``, means and the Cholesky factor of the floored covariance; and the columns ``also``."""
     table = moments.withColumns({f"c{i}{i}": F.col(f"c{i}{i}") + F.lit(FLOORS[i] ** 2) for i in range(DIMENSIONS)})
     for j in range(DIMENSIONS):  # column by column
         done = lambda i: reduce(Column.__add__, [F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)], F.lit(0.0))  # noqa: E731, B023
@@ -120,13 +121,14 @@ def _factor(moments: DataFrame) -> DataFrame:
                 {f"l{i}{j}": (F.col(f"c{j}{i}") - done(i)) / F.col(f"l{j}{j}") for i in range(j + 1, DIMENSIONS)}
             )
     return table.select(
-        "group", *[f"m{i}" for i in range(DIMENSIONS)], *[f"l{i}{j}" for i in range(DIMENSIONS) for j in range(i + 1)]
+        "group", *[f"m{i}" for i in range(DIMENSIONS)], *[f"l{i}{j}" for i in range(DIMENSIONS) for j in range(i + 1)], *also
     )
 
 
 def _distances(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     """Rows with ``distance``, the squared Mahalanobis distance from their group's estimate."""
-    joined = rows.join(broadcast_if_small(estimate, 20_000), "group")
+    needed = [f"m{i}" for i in range(DIMENSIONS)] + [f"l{i}{j}" for i in range(DIMENSIONS) for j in range(i + 1)]
+    joined = rows.join(estimate.select("group", *needed), "group")
     for i in range(DIMENSIONS):  # forward substitution
         rest = F.col(X[i]) - F.col(f"m{i}")
         for k in range(i):
@@ -151,11 +153,17 @@ def _log_determinant() -> Column:
     return reduce(Column.__add__, [2 * F.log(f"l{i}{i}") for i in range(DIMENSIONS)])
 
 
-def _step(rows: DataFrame, moments: DataFrame) -> DataFrame:
-    """Moments of the three quarters of each group that lie nearest by the moments before."""
-    distances = _distances(rows, _factor(moments))
-    near = distances.join(broadcast_if_small(stored(_range(distances), "outliers-range"), 20_000), "group")
-    return stored(_moments(near.where("distance <= range")), "outliers-step")
+def _with_factor(moments: DataFrame, name: str) -> DataFrame:
+    """Moments, stored once with their factor and ``size``, the logarithm of the determinant."""
+    factor = _factor(moments.select("*", *[F.col(c).alias(f"_{c}") for c in C]), *[f"_{c}" for c in C])
+    return stored(factor.select("*", _log_determinant().alias("size")).withColumnsRenamed({f"_{c}": c for c in C}), name)
+
+
+def _step(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """Moments and factor of the three quarters of each group that lie nearest by the estimate before."""
+    distances = _distances(rows, estimate)
+    near = distances.join(_range(distances), "group").where("distance <= range")
+    return _with_factor(_moments(near), "outliers-step")
 
 
 def _starts(rows: DataFrame) -> DataFrame:
@@ -169,34 +177,37 @@ def _starts(rows: DataFrame) -> DataFrame:
         *[(F.pow(spread[int(c[1])] / 1.349, F.lit(2.0)) if c[1] == c[2] else F.lit(0.0)).alias(c) for c in C],
     )
     inside = [F.col(x).between(F.col(f"q{i}")[0] - F.lit(FLOORS[i]), F.col(f"q{i}")[2] + F.lit(FLOORS[i])) for i, x in enumerate(X)]
-    middle = rows.join(broadcast_if_small(quartiles, 20_000), "group").where(reduce(Column.__and__, inside))
+    middle = rows.join(quartiles, "group").where(reduce(Column.__and__, inside))
     named = [
         table.withColumn("group", F.concat(F.lit(f"{k}"), "group")) for k, table in enumerate([plain, _moments(rows), _moments(middle)])
     ]
-    return stored(reduce(DataFrame.unionByName, named), "outliers-starts")
+    return _with_factor(reduce(DataFrame.unionByName, named), "outliers-starts")
 
 
 def estimates(rows: DataFrame) -> DataFrame:
     """Per ``group`` of ``rows``: mean and covariance of the three quarters whose covariance has the smallest determinant found."""
-    moments = _starts(rows)
+    estimate = _starts(rows)
     thrice = rows.select(F.explode(F.array(*[F.concat(F.lit(f"{k}"), "group") for k in range(3)])).alias("group"), *X)
     for _ in range(STEPS):
-        moments = _step(thrice, moments)
-    by_start = _factor(moments).select("group", _log_determinant().alias("size"))
-    best = by_start.groupBy(F.expr("substring(group, 2)").alias("name")).agg(F.min_by("group", F.struct("size", "group")).alias("group"))
-    moments = stored(moments.join(best, "group").drop("group").withColumnRenamed("name", "group"), "outliers-best")
+        estimate = _step(thrice, estimate)
+    columns = [c for c in estimate.columns if c != "group"]
+    best = estimate.groupBy(F.expr("substring(group, 2)").alias("name")).agg(
+        F.min_by(F.struct(*columns), F.struct("size", "group")).alias("best")
+    )
+    estimate = best.select(F.col("name").alias("group"), "best.*")
+    estimate = stored(estimate, "outliers-best")
     for _ in range(MOST_STEPS):
-        after = _step(rows, moments)
-        old = _factor(moments).select("group", _log_determinant().alias("old"))
-        new = _factor(after).select("group", _log_determinant().alias("new"))
-        fell = old.join(new, "group").withColumn("fell", F.col("new") < F.col("old") - FALL)
-        if not fell.where("fell").limit(1).count():
-            break
+        after = _step(rows, estimate)
         # A group whose determinant no longer falls keeps the estimate it has.
-        better = broadcast_if_small(stored(fell.select("group", "fell"), "outliers-fell"), 20_000)
-        kept = moments.join(better, "group").where("not fell").drop("fell")
-        moments = stored(kept.unionByName(after.join(better, "group").where("fell").drop("fell")), "outliers-kept")
-    return moments
+        both = estimate.select("group", F.struct(*columns).alias("old")).join(
+            after.select("group", F.struct(*columns).alias("new")), "group"
+        )
+        fell = F.col("new.size") < F.col("old.size") - FALL
+        both = stored(both.select("group", fell.alias("fell"), F.when(fell, F.col("new")).otherwise(F.col("old")).alias("kept")), "outliers-kept")
+        estimate = both.select("group", "kept.*")
+        if both.where("fell").isEmpty():
+            break
+    return estimate
 
 
 def shrunk(groups: DataFrame, moments: DataFrame) -> DataFrame:
@@ -238,6 +249,6 @@ def judged(docs: DataFrame) -> DataFrame:
     # A few rows say little about their range, and count by their weight.
     own = F.col("weight") * F.col("range") + (1 - F.col("weight")) * F.lit(CHI_COVERAGE)
     scale = F.lit(CHI_COVERAGE) / F.greatest(own, F.lit(CHI_COVERAGE / 4))
-    verdict = measured.join(broadcast_if_small(stored(ranges.select("group", scale.alias("scale")), "outliers-scale"), 20_000), "group")
+    verdict = measured.join(ranges.select("group", scale.alias("scale")), "group")
     kept = verdict.select(*columns, (F.col("distance") * F.col("scale") <= CUTOFF).alias("kept"))
     return kept.unionByName(rows.where("base_failed").select(*columns, F.lit(False).alias("kept")))
