@@ -27,18 +27,22 @@ TREES, DEPTH, SEED = 20, 6, 17
 THRESHOLD = 0.5
 MODULUS, HELD_OUT = 3, 1
 
-CANDIDATE = r"(?=[A-Za-z_+/=-]*[0-9])[A-Za-z0-9_+/=-]{16,}"
+#: A whole run of these characters, with a digit; tried at the start of a run only, so that a long word is read once.
+CANDIDATE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])[A-Za-z0-9_+/=-]{16,}+"
 CREDENTIAL = r"(?i)passw|pwd|secret|token|api.?key|access.?key|auth|credential"
 #: What links a credential word to its value; the ``:`` of ``https://`` doesn't.
 ASSIGN = r"(?:=>|:=|={1,2}|:(?!//))"
 LINK = CREDENTIAL.removeprefix("(?i)")
-#: A value that a credential word or an address names, as the one group; of an address the sign ``@`` stays.
+NAME = "A-Za-z0-9_.-"
+#: A name up to its end, with a credential word in it; the group is what comes before that. Names are tried as a whole.
+CREDENTIAL_NAME = rf"(?:(?<![{NAME}])(?>([{NAME}]*?)(?:{LINK})[{NAME}]*+)|(?:api|access)[^{NAME}]key[{NAME}]*+)"
+#: A value that a credential word or an address names, as the second group; of an address the sign ``@`` stays.
 NAMED = (
-    rf"(?i)(?:(?:{LINK})[A-Za-z0-9_.-]*[\"'`\]]*{ASSIGN}[\"'`(\[{{]*|(?<![a-z0-9+.-])[a-z0-9+.-]++://[^\s/:@?#]*:(?=[^\s/]+@))"
+    rf"(?i)(?:{CREDENTIAL_NAME}[\"'`\]]*+{ASSIGN}[\"'`(\[{{]*|(?<![a-z0-9+.-])[a-z0-9+.-]++://[^\s/:@?#]*:(?=[^\s/]+@))"
     r"((?<=://[^\s/:@?#]{0,200}:)[^\s/]{4,}(?=@)|[^\s\"'`,;&<>(){}\[\]]{4,})"
 )
 #: The end of the words before, when they assign to a credential word.
-BEFORE = rf"(?i)(?:{LINK})[A-Za-z0-9_.-]*[\"'`\]]* ?{ASSIGN}[\"'`(]*$"
+BEFORE = rf"(?i){CREDENTIAL_NAME}[\"'`\]]*+ ?{ASSIGN}[\"'`(]*$"
 # Parts of everyday identifiers.
 DICTIONARY = (
     r"(?i)example|sample|test|user|name|file|image|page|index|data|version|build|mail|number|order|invoice|"
@@ -68,7 +72,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     # A word that the words before assign to reads as if they were written to it.
     whole = F.when(F.col("before").rlike(BEFORE) & ~F.col("word").rlike(NAMED), F.concat(F.lit("token="), F.col("word"))).otherwise(F.col("word"))
     found = found.withColumn("read", whole)
-    named, left = F.regexp_extract_all("read", F.lit(NAMED), F.lit(1)), F.regexp_replace("read", NAMED, "\u0001")
+    named, left = F.regexp_extract_all("read", F.lit(NAMED), F.lit(2)), F.regexp_replace("read", NAMED, "$1\u0001")
     each = F.concat(
         F.transform(named, lambda v: F.struct(v.alias("value"), F.lit(True).alias("named"))),
         F.transform(F.regexp_extract_all(left, F.lit(f"({CANDIDATE})"), F.lit(1)), lambda v: F.struct(v.alias("value"), F.lit(False).alias("named"))),
