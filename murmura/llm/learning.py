@@ -6,16 +6,18 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmura.llm.common import remainder, whole
+from murmura.llm.common import remainder, stored, whole
 
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, bound: int
 ) -> DataFrame:
-    """``text`` and ``label`` of at most ``bound`` labelled rows outside the held-out remainder.
+    """``doc_id``, ``text`` and ``label`` of at most ``bound`` labelled rows outside the held-out remainder.
 
-    Rows are chosen by a hash of their id, so the choice is the same in every run. The chosen labels,
-    at most ``bound`` rows, are broadcast; no text is shuffled. Rows without id or label don't count.
+    Ids are chosen by their hash, so the choice is the same in every run. The chosen labels, at most
+    ``bound`` rows, are broadcast. Of an id that several rows have, the text with the smallest hash counts,
+    reduced on the map side, so no more rows come out than were chosen; they are stored for the passes over
+    them. Rows without id or label don't count.
     """
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
@@ -26,7 +28,9 @@ def labelled_sample(
         .limit(bound)
     )
     rows = docs.select(docs["doc_id"], whole(docs["text"]).alias("text"))
-    return rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    found = rows.join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    return stored(one.select("doc_id", "one.text", "label"), "labelled-sample")
 
 
 def byte_counts(text: str) -> np.ndarray:

@@ -28,8 +28,6 @@ MODULUS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 #: At most so many labelled rows are learned from; documented bound of the sample.
 SAMPLE = 20_000
-#: At most so many entries make the lexicon.
-LEXICON = 20_000
 #: Words of a text that are looked at together.
 NEAR = 3
 OPENINGS = (4, 5)
@@ -52,7 +50,10 @@ def terms(words: list[str]) -> list[str]:
 
 
 def count_lexicon(sample: DataFrame) -> tuple[dict[str, tuple[int, int]], int, int]:
-    """Rows with each term, toxic and not, of the terms that stand out; and the rows of each class."""
+    """Rows with each term, toxic and not, of all terms that stand out; and the rows of each class.
+
+    The sample's bound is the lexicon's: a term stands out in three of its toxic rows at least.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -70,8 +71,6 @@ def count_lexicon(sample: DataFrame) -> tuple[dict[str, tuple[int, int]], int, i
         .agg(F.sum("label").alias("toxic"), F.count("*").alias("rows"))
         .withColumn("clean", F.col("rows") - F.col("toxic"))
         .where(f"toxic >= 3 and (toxic + 0.5) / {toxic + 1} > 4 * (clean + 0.5) / {clean + 1}")
-        .orderBy(F.desc("toxic"), "term")
-        .limit(LEXICON)
     )
     return {r["term"]: (r["toxic"], r["clean"]) for r in counted.collect()}, toxic, clean
 
