@@ -28,7 +28,8 @@ THRESHOLD = 0.5
 MODULUS, HELD_OUT = 3, 1
 
 #: A whole run of these characters, with a digit; tried at the start of a run only, so that a long word is read once.
-CANDIDATE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])[A-Za-z0-9_+/=-]{16,}+"
+SHORTEST = 16
+CANDIDATE = rf"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])[A-Za-z0-9_+/=-]{{{SHORTEST},}}+"
 CREDENTIAL = r"(?i)passw|pwd|secret|token|api.?key|access.?key|auth|credential"
 #: What links a credential word to its value; the ``:`` of ``https://`` doesn't.
 ASSIGN = r"(?:=>|:=|={1,2}|:(?!//))"
@@ -58,13 +59,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: ``doc_id``, ``place`` (its word), ``at`` (which of the word's candidates),
     ``value``, ``named`` (a credential word is assigned to it) and the words about it."""
     listed = docs.select(docs["doc_id"], words(docs["text"]).alias("w"))
+    each = F.transform("w", lambda x, i: F.struct(i.alias("place"), x.alias("word")))
+    # No pattern below fits without these, and few words have them: the others get no neighbours and no row.
+    linked = lambda x: F.contains(x, F.lit("=")) | F.contains(x, F.lit(":"))
+    near = F.filter(
+        each,
+        lambda x: (F.length(x["word"]) >= SHORTEST) | linked(x["word"]) | F.coalesce(linked(F.get("w", x["place"] - 1)), F.lit(False)),
+    )
     about = F.transform(
-        "w",
-        lambda x, i: F.struct(
-            i.alias("place"),
-            x.alias("word"),
-            F.concat_ws(" ", F.get("w", i - 3), F.get("w", i - 2), F.get("w", i - 1)).alias("before"),
-            F.coalesce(F.get("w", i + 1), F.lit("")).alias("after"),
+        near,
+        lambda x: F.struct(
+            x["place"].alias("place"),
+            x["word"].alias("word"),
+            F.concat_ws(" ", *[F.get("w", x["place"] - k) for k in (3, 2, 1)]).alias("before"),
+            F.coalesce(F.get("w", x["place"] + 1), F.lit("")).alias("after"),
         ),
     )
     found = listed.select("doc_id", F.inline(about))
