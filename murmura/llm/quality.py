@@ -4,7 +4,7 @@ Class means and shrunk class covariances come from a bounded sample of labelled
 is the logistic of the difference of the Mahalanobis log densities, with Cholesky factors kept.
 
 Cases: a null text counts as empty and gets a score; null ids count as the empty text in the fold rule;
-rows that repeat an id each get a row; further columns are not read. With fewer than two training rows
+rows that repeat an id each get a row, and one of them is learned from; further columns are not read. With fewer than two training rows
 of either class every score is the share of class 1 (0 without rows). An empty table gives an empty
 result.
 """

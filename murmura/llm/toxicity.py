@@ -5,7 +5,7 @@ densities, how near its hits are to second-person words, and rates of capitals,
 obfuscated spelling feed small trees. Out-of-fold margins of the trees give the calibration.
 
 Cases: a null text counts as empty and gets a score; null ids count as the empty text in the fold rule;
-rows that repeat an id each get a row. Without labelled training rows, or with one class only, every
+rows that repeat an id each get a row, and one of them is learned from. Without labelled training rows, or with one class only, every
 score is that class's share (0 without rows). Labels of an id that disagree count as toxic. Further
 columns pass through :func:`clean` and are not read otherwise. An empty table gives an empty result.
 """
