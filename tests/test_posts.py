@@ -147,3 +147,30 @@ def test_survivors_do_not_depend_on_the_layout(spark):
         fresh = new_posts(df, df.where("tweet_id = '2'"))
         assert [(r.tweet_id, r.content) for r in fresh.collect()] == [("1", "a")]
         assert [r.content for r in take_target(df, 2).collect()] == ["a", "z"]
+
+
+def test_texts_are_not_shuffled_for_ranks(spark):
+    rows = [post("1", "2026-01-01T01:00:00Z", "a"), post("1", "2026-01-01T02:00:00Z", "b"), post("2", "2026-01-01T03:00:00Z", "B")]
+    got = clean.clean_and_dedupe(raw(spark, rows))
+    scans = re.findall(r"FileScan parquet \[(.*?)\]", got._jdf.queryExecution().executedPlan().toString())
+    assert sorted(bool(re.search(r"\bcontent#", s)) for s in scans) == [False, True]
+    assert [(r.tweet_id, r.content, r.content_norm) for r in got.collect()] == [("2", "B", "b")]
+
+
+def test_survivors_of_large_files(spark):
+    """Places behind the first bitmap of a file, and rows at both ends of it."""
+    n = 70_001
+    rows = spark.range(n, numPartitions=1).select(
+        F.col("id").cast("string").alias("scraped_at"),
+        F.when(F.col("id") % 7 == 0, "hot").otherwise((F.col("id") % 35_000).cast("string")).alias("tweet_id"),
+        F.timestamp_seconds("id").alias("timestamp"),
+        F.col("id").cast("string").alias("content"),
+        F.pmod("id", F.lit(9)).cast("string").alias("content_hash"),
+    )
+    last = {}
+    for i in range(n):
+        last["hot" if i % 7 == 0 else str(i % 35_000)] = i
+    got = dedupe.dedupe_by_id(rows)
+    assert sorted(int(r.content) for r in got.collect()) == sorted(last.values())
+    texts = {i % 9: i for i in sorted(last.values())}
+    assert sorted(int(r.content) for r in dedupe.dedupe_by_content(got).collect()) == sorted(texts.values())
