@@ -203,3 +203,16 @@ SAMPLE = [
 def test_query_equals_sql(spark, key):
     n, wrong = differences(spark, connect(SF), SF, key)
     assert n > 0 and not wrong
+
+
+def test_stream_dedupe_leaves_the_folded_text_out_of_the_shuffle(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    append_raw(raw(spark, SF).limit(20), landing, "gzip")
+    assert {f.name.partition(".")[2] for f in (tmp_path / "landing").glob("part-*")} == {"json.gz"}
+    assert read_raw(spark, landing).count() == 20
+    arriving = streaming.stream_clean(streaming.stream_raw(spark, landing))
+    once = streaming.stream_dedupe(arriving)
+    assert once.columns == arriving.columns
+    plan = once._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.index("DeduplicateWithinWatermark") :].splitlines()
+    assert "EventTimeWatermark" in below[1] and "content#" in below[2] and "content_norm#" not in below[2]
