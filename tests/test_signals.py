@@ -71,6 +71,42 @@ def test_pruned_counts_equal_full_counts_of_frequent_terms(spark):
     assert all(t in pruned for t, (_, cf) in full.items() if cf >= 120)
 
 
+@pytest.mark.parametrize("n", [2, 3])
+def test_known_grams_equal_the_grams_of_known_parts(spark, n):
+    docs = [*documents(80, seed=4), "", "aa"]
+    df = tfidf.tokenized(frame(spark, docs), "content_norm")
+    parts = Counter(" ".join(p) for d in docs for p in zip(*[d.split()[i:] for i in range(n - 1)]))
+    heads, tails = sorted(parts)[::2], sorted(parts)[::3]
+    got = {r.tweet_id: r["_terms"] for r in tfidf.with_known_grams(df, n, heads, tails).collect()}
+    for i, d in enumerate(docs):
+        grams = [" ".join(p) for p in zip(*[d.split()[k:] for k in range(n)])]
+        known = [g for g in grams if g.rsplit(" ", 1)[0] in set(heads) and g.split(" ", 1)[1] in set(tails)]
+        assert got[i] == known
+    assert not any(tfidf.with_known_grams(df, n, heads, []).select(F.size("_terms")).distinct().first())
+
+
+def test_parts_of_ngrams_in_the_row_or_joined(spark, monkeypatch):
+    df = tfidf.tokenized(frame(spark, documents(200, seed=9)), "content_norm")
+    words = tfidf.corpus_counts(df, 1).filter("cf >= 120")
+    inside = tfidf.corpus_counts(df, 2, words)
+    assert "Join" not in inside._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tfidf, "SET_TERMS", 0)
+    assert sorted(tfidf.corpus_counts(df, 2, words).collect()) == sorted(inside.collect())
+
+
+def test_scored_columns_are_cut_into_words_once(spark):
+    df = scored_posts(spark, documents(40, seed=3)).cache()
+    names = ["tweet_id", "engagement", "likes"]
+    whole = scoring.score_posts(df, ["aa", "bb"], ["cc"]).select(*names, "tweet_signal", "tfidf_strength")
+    narrow = scoring.score_posts(df, ["aa", "bb"], ["cc"], columns=names)
+    assert narrow.columns == [*names, "lexicon_score", "tfidf_strength", "engagement_weight", "tweet_signal"]
+    assert sorted(narrow.select(*whole.columns).collect()) == sorted(whole.collect())
+    words = tfidf.tokenized(df, "content_norm").select("tweet_id", "_tokens")
+    model = tfidf.fit_tokens(words)
+    plan = model.strength(words)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all") == 1 and model == tfidf.fit_tfidf(df)  # the words are not cut again
+
+
 def test_term_counts(spark):
     docs = documents()
     df = tfidf.with_ngrams(frame(spark, docs), "content_norm", 1, 2)
