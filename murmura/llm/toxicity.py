@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,8 @@ SAMPLE = 20_000
 #: Words of a text that are looked at together.
 NEAR = 3
 OPENINGS = (4, 5)
+#: Different terms that a task counts before it hands them on.
+HELD_TERMS = 100_000
 
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine deinen ihr euch sie tu te toi ton ta tes vous votre vos "
@@ -49,6 +51,29 @@ def terms(words: list[str]) -> list[str]:
     return [*words, *[w[:n] + "-" for n in OPENINGS for w in words if len(w) > n]]
 
 
+def term_rows(rows: Iterable[tuple[str, int]], held: int = HELD_TERMS) -> Iterator[pd.DataFrame]:
+    """``term``, ``toxic`` and ``rows``: in how many of the texts each term is, in parts of about ``held`` terms.
+
+    No more than that and one text's terms are held at a time, however many texts there are.
+    """
+
+    def part() -> pd.DataFrame:
+        columns = [list(counts), [n[0] for n in counts.values()], [n[1] for n in counts.values()]]
+        return pd.DataFrame(dict(zip(("term", "toxic", "rows"), columns))).astype({"term": "str", "toxic": "int64", "rows": "int64"})
+
+    counts: dict[str, list[int]] = {}
+    for text, label in rows:
+        for term in set(terms(WORDS.findall(text.lower()))):
+            seen = counts.setdefault(term, [0, 0])
+            seen[0] += label
+            seen[1] += 1
+        if len(counts) >= held:
+            yield part()
+            counts.clear()
+    if counts:
+        yield part()
+
+
 def count_lexicon(sample: DataFrame) -> tuple[dict[str, tuple[int, int]], int, int]:
     """Rows with each term, toxic and not, of all terms that stand out; and the rows of each class.
 
@@ -56,9 +81,7 @@ def count_lexicon(sample: DataFrame) -> tuple[dict[str, tuple[int, int]], int, i
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(t, y) for text, y in zip(batch["text"], batch["label"]) for t in set(terms(WORDS.findall(text.lower())))]
-            yield pd.DataFrame(rows, columns=["term", "label"]).astype({"term": "str", "label": "int32"})
+        yield from term_rows((text, int(y)) for batch in batches for text, y in zip(batch["text"], batch["label"]))
 
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
@@ -66,9 +89,9 @@ def count_lexicon(sample: DataFrame) -> tuple[dict[str, tuple[int, int]], int, i
         return {}, toxic, clean
     counted = (
         sample.select("text", "label")
-        .mapInPandas(run, "term string, label int")
+        .mapInPandas(run, "term string, toxic long, rows long")
         .groupBy("term")
-        .agg(F.sum("label").alias("toxic"), F.count("*").alias("rows"))
+        .agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
         .withColumn("clean", F.col("rows") - F.col("toxic"))
         .where(f"toxic >= 3 and (toxic + 0.5) / {toxic + 1} > 4 * (clean + 0.5) / {clean + 1}")
     )

@@ -50,6 +50,26 @@ def test_toxicity_features_by_hand():
     assert lexicon.features("") == [0.0] * 12
 
 
+def test_lexicon_terms_are_handed_on_in_parts():
+    """Terms of many texts are counted, not listed: no part holds much more than the bound, and their sums are whole."""
+    texts = [(f"word{'abcdefghij'[i % 10]} fool other{'xyz'[i % 3]}", i % 2) for i in range(2000)]
+    parts = list(toxicity.term_rows(iter(texts), held=12))
+    assert len(parts) > 1 and max(map(len, parts)) <= 12 + 9
+    assert sum(map(len, parts)) < sum(len(set(toxicity.terms(t.split()))) for t, _ in texts) / 2
+    found = {}
+    for part in parts:
+        for term, toxic, rows in part.itertuples(index=False):
+            a, b = found.get(term, (0, 0))
+            found[term] = a + toxic, b + rows
+    expected = {}
+    for text, y in texts:
+        for term in set(toxicity.terms(text.split())):
+            a, b = expected.get(term, (0, 0))
+            expected[term] = a + y, b + 1
+    assert found == expected
+    assert not list(toxicity.term_rows(iter([])))
+
+
 @pytest.mark.parametrize("operator,label", [(toxicity, "toxic"), (quality, "quality")])
 def test_sample_has_one_row_of_an_id(spark, operator, label):
     """An id that very many rows repeat is one row of the sample, whatever their order."""
