@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from murmura.operators import buckets, report, scoring, tfidf
+from murmura.functions import text
+from murmura.operators import buckets, grams, report, scoring, tfidf
 
 WORDS = ["aa", "bb", "cc", "dd", "ee", "ff", "gg", "hh", "rare"]
 
@@ -107,6 +108,38 @@ def test_scored_columns_are_cut_into_words_once(spark):
     assert plan.count("regexp_extract_all") == 1 and model == tfidf.fit_tfidf(df)  # the words are not cut again
 
 
+ODD = ["", " ", "a", "aa", "aa bb", "bb aa bb aa bb", "\u00e9t\u00e9, \u00c9T\u00c9! x yy_9 \u4f60\u597d \U0001d4b3\U0001d4b4 q", "cc  dd.ee", "aa bb"]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_batches_are_counted_without_a_row_for_each_word(spark, monkeypatch, n):
+    docs = [*ODD, *documents(60, seed=5)]
+    df = frame(spark, docs)
+    cut = [r.t for r in df.orderBy("tweet_id").select(text.tokenize(F.col("content_norm")).alias("t")).collect()]
+    lists = [[" ".join(t[i : i + n]) for i in range(len(t) - n + 1)] for t in cut]
+    cf = Counter(g for grams in lists for g in grams)
+    dfs = Counter(g for grams in lists for g in set(grams))
+    for piece in (grams.PIECE, 1, 40):
+        monkeypatch.setattr(grams, "PIECE", piece)
+        for words in (tfidf.worded(df, "content_norm"), tfidf.tokenized(df, "content_norm")):
+            counts = tfidf.corpus_counts(words, n)
+            assert {r.term: (r.df, r.cf) for r in counts.collect()} == {g: (dfs[g], cf[g]) for g in cf}
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("ngrams", [(1, 1), (1, 2), (1, 3), (2, 3), (3, 3)])
+def test_stored_words_score_like_texts(spark, monkeypatch, ngrams):
+    df = frame(spark, [*ODD, *documents(80, seed=6)])
+    # A low limit leaves terms without their parts in the vocabulary.
+    for limits in ({"max_features": 9}, {"max_df": 0.3, "min_df": 1}):
+        model = tfidf.fit_tfidf(df, ngram_range=ngrams, **limits)
+        monkeypatch.setattr(grams, "PIECE", 50)
+        by_row = {r.tweet_id: r.tfidf_strength for r in model.strength(df).collect()}
+        stored = model.strength(tfidf.worded(df, "content_norm"))
+        assert {r.tweet_id: r.tfidf_strength for r in stored.collect()} == by_row
+        assert any(by_row.values())
+
+
 def test_term_counts(spark):
     docs = documents()
     df = tfidf.with_ngrams(frame(spark, docs), "content_norm", 1, 2)
