@@ -422,6 +422,35 @@ def test_shingles_are_windows_at_every_place(spark):
     assert {tuple(r) for r in lines.shingle_hashes(frame).collect()} == {tuple(r) for r in plain.collect()}
 
 
+def test_batches_of_lines_have_the_windows_of_each_line(monkeypatch):
+    texts = ["a", "abc", "abc\0\0", "fives", "\u65e5\u672c\u8a9e\U0001f600 \U0001f600 x", "x" * 40, "abcdefgh" * 30, "", "fives"]
+    number = {}
+    for piece in (lines.windows.PIECE, 1, 20):
+        monkeypatch.setattr(lines.windows, "PIECE", piece)
+        batch = pa.RecordBatch.from_pydict({"key": list(range(len(texts))), "line": texts})
+        made = [r for b in lines.windows.sketching(True)(iter([batch])) for r in b.to_pylist()]
+        assert [r["key"] for r in made] == list(range(len(texts)))
+        for r, text in zip(made, texts):
+            shingles = character_shingles(text) if text else {""}
+            assert len(r["hashes"]) == r["sketch"]["n"] == len(set(r["hashes"])) == len(shingles)
+            assert number.setdefault(text, r["hashes"]) == r["hashes"]
+        signed = [r for b in lines.windows.signing(lines.FACTORS, lines.ROWS)(iter([batch])) for r in b.to_pylist()]
+        for r in signed:
+            hashes = number[texts[r["key"]]]
+            least = [min(h * f & lines.LOW for h in hashes) for f in lines.FACTORS]
+            assert number.setdefault(tuple(least), [r[f"b{i}"] for i in range(lines.BANDS)]) == [r[f"b{i}"] for i in range(lines.BANDS)]
+    assert len({tuple(v) for k, v in number.items() if isinstance(k, str)}) == len(set(texts))
+
+
+def test_sets_of_shingles_are_not_stored(spark, monkeypatch):
+    """They take several times the room of the lines, so lines are stored and travel in their place."""
+    kept, keep = [], lines.Scratch.keep
+    monkeypatch.setattr(lines.Scratch, "keep", lambda self, df, name: kept.append(df.schema.simpleString()) or keep(self, df, name))
+    texts = ["one line that is here and there again", "one line that is here and there again!", "another line of words"]
+    got = lines.report(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    assert sum(r.n_removed for r in got) == 1 and kept and not any("hashes" in schema for schema in kept)
+
+
 def test_short_lines_and_lines_without_blanks(spark):
     """One letter changed in a line of 60 to 110 characters: words, addresses, signs without blanks."""
     rnd = random.Random(8)
