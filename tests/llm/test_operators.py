@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import struct
 import unicodedata
@@ -451,6 +452,42 @@ def test_sets_of_shingles_are_not_stored(spark, monkeypatch):
     assert sum(r.n_removed for r in got) == 1 and kept and not any("hashes" in schema for schema in kept)
 
 
+def test_rare_shingles_are_found_in_the_batch(spark, monkeypatch):
+    """Of large buckets only the first shingles become rows, and in slices; lines share one as similar lines must."""
+    rnd = random.Random(12)
+    words = ["".join(rnd.choices("abcdefg", k=rnd.randint(1, 7))) for _ in range(300)]
+    texts = []
+    for _ in range(50):
+        line = [rnd.choice(words) for _ in range(rnd.randint(8, 40))]
+        for _ in range(4):
+            varied = list(line)
+            varied[rnd.randrange(len(line))] = rnd.choice(words)
+            texts.append(" ".join(varied))
+    texts = sorted(set(texts))
+    sets = [character_shingles(t) for t in texts]
+    batch = pa.RecordBatch.from_pydict({"key": list(range(len(texts))), "line": texts})
+    often = next(lines.windows.tallying()(iter([batch])))
+    run = lines.windows.leading(often["slot"].to_numpy(), often["often"].to_numpy(), 0.8)
+    firsts = [r for b in run(iter([batch])) for r in b.to_pylist()]
+    for r, s in zip(firsts, sets):
+        assert r["skipped"] + len(r["firsts"]) == len(s) - math.ceil(0.8 * len(s)) + 1
+    similar = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(similar) > 20 and all(set(firsts[i]["firsts"]) & set(firsts[j]["firsts"]) for i, j in similar)
+
+    kept, keep = {}, lines.Scratch.keep
+    monkeypatch.setattr(lines.Scratch, "keep", lambda self, df, name: kept.setdefault(name, []).append(df.columns) or keep(self, df, name))
+    monkeypatch.setattr(lines, "PAIRED", 1)
+    monkeypatch.setattr(lines, "SLICE_ROWS", 1)
+    frame = spark.createDataFrame([(b"%06d" % i, t) for i, t in enumerate(texts)], "key binary, line string")
+    sketches = lines.shingle_sets(frame, with_hashes=False)
+    # One bucket a slice, with every line in it; each line is a component of its own.
+    open_ = sketches.select(F.explode(F.sequence(F.lit(0), F.lit(5)).cast("array<bigint>")).alias("band"), "key", "sketch", F.col("key").alias("root"))
+    scratch = lines.Scratch(spark, "test-lines")
+    got = {(int(r.b), int(r.a)) for r in lines._between(open_, frame, scratch).collect()}
+    assert got >= set(similar) and len(got) < len(texts) * (len(texts) - 1) / 8
+    assert sorted(k for k in kept if k.startswith("found")) == [f"found-{i}" for i in range(lines.SLICES)]
+
+
 def test_short_lines_and_lines_without_blanks(spark):
     """One letter changed in a line of 60 to 110 characters: words, addresses, signs without blanks."""
     rnd = random.Random(8)
