@@ -116,3 +116,19 @@ def test_resampling_weights_are_poisson(spark):
     assert 0 <= r.lo and r.hi < resample.PRIME
     per_replicate = drawn.groupBy("b").agg(F.sum("w").alias("n")).agg(F.var_samp("n").alias("v")).first().v
     assert 2400 < per_replicate < 6200  # variance of the sum of 4000 independent weights
+
+
+def test_words_of_plain_and_other_texts(spark):
+    """Texts of ASCII characters alone take a shorter way, to the words of every other text."""
+    every = [chr(i) for i in range(0x30000) if not 0xD800 <= i < 0xE000]
+    texts = ["", "a, b;c_d--e  f\n9.5", "\u212a, K", "caf\u00e9, \u2014 th\u00e9", *(f"x{c}{c}y {c}," for c in map(chr, range(128)))]
+    texts += ["y".join(every[i : i + 5000]) for i in range(0, len(every), 5000)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "c string")
+    lowered = F.lower(F.coalesce("c", F.lit("")))
+    plain = F.octet_length("c") == F.char_length("c")
+    rows = df.select(
+        text.words(F.col("c")).alias("got"), F.regexp_replace(lowered, r"[^ a-z0-9\p{L}\p{N}_]+", " ").alias("want"), plain.alias("plain")
+    ).collect()
+    assert all(r.got == r.want for r in rows) and {r.plain for r in rows} == {True, False, None}
+    # Letters aren't looked for one by one in texts without any beyond ASCII.
+    assert r"\p{L}" not in df.select(text.words(F.col("c")))._jdf.queryExecution().analyzed().toString().split("ELSE")[0]
