@@ -415,6 +415,31 @@ def test_verified_pairs_are_not_lost_to_sketches(spark):
     assert sum(r.similar for r in rows) > 5 and sum(not r.possible for r in rows) > 100
 
 
+def test_bitmaps_tell_long_lines_apart(spark):
+    """Lines of 440 characters with half of their shingles in common: their bitmaps aren't full."""
+    rnd, rows = random.Random(6), []
+    for k in range(20):
+        words = ["".join(rnd.choices("abcdefghijklmnop", k=10)) for _ in range(40)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:27], *["".join(rnd.choices("abcdefghijklmnop", k=10)) for _ in range(13)]]))]
+    sets = lines.shingle_sets(spark.createDataFrame(rows, "key long, line string"), with_hashes=False)
+    a, b = sets.alias("a"), sets.alias("b")
+    pairs = a.join(b, (F.col("a.key") + 1 == F.col("b.key")) & (F.col("a.key") % 2 == 0))
+    possible = pairs.select(lines._may_be_similar("a.sketch", "b.sketch").alias("p")).collect()
+    assert len(possible) == 20 and not any(r.p for r in possible)
+
+
+def test_buckets_of_some_hundred_lines_are_not_cut_into_shingles(spark, monkeypatch):
+    rnd = random.Random(7)
+    texts = [" ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(12)) for _ in range(150)]
+    texts.append(texts[0][:-1] + "x")
+    frame = spark.createDataFrame([(b"%06d" % i, t) for i, t in enumerate(texts)], "key binary, line string")
+    open_ = lines.shingle_sets(frame, with_hashes=False).selectExpr("1L as band", "key", "sketch", "key as root")
+    many, between = [], lines._between_many
+    monkeypatch.setattr(lines, "_between_many", lambda rows, *more: many.append(rows.count()) or between(rows, *more))
+    got = lines._between(open_, frame, lines.Scratch(spark, "test-lines")).collect()
+    assert many == [0] and [(int(r.a), int(r.b)) for r in got] == [(0, 150)]
+
+
 def test_shingles_are_windows_at_every_place(spark):
     texts = ["a", "four", "fives", "x" * 64 + "yz", "ab😀日本語 d", "".join(chr(0x4E00 + i % 211) for i in range(300)), "w " * 100 + "end"]
     frame = spark.createDataFrame([(t, t) for t in texts], "key string, line string")
