@@ -140,6 +140,30 @@ def test_stored_words_score_like_texts(spark, monkeypatch, ngrams):
         assert any(by_row.values())
 
 
+@pytest.mark.parametrize("ngrams", [(1, 1), (1, 2), (2, 3)])
+def test_weights_are_found_batch_by_batch(spark, monkeypatch, ngrams):
+    df = frame(spark, [*ODD, *documents(40, seed=8)])
+    model = tfidf.fit_tfidf(df, ngram_range=ngrams, max_features=30)
+    words = tfidf.worded(df, "content_norm").select("tweet_id", "_words")
+    assert tfidf.fit_tfidf(words, ngram_range=ngrams, max_features=30) == model
+    index = {i: t for i, t in enumerate(model.terms)}
+    counted = model.counts(df, "content_norm").collect()
+    want = {(r.tweet_id, index[i]): (int(tf), tf * model.idf[i]) for r in counted for i, tf in zip(r["_index"], r["_tf"])}
+    norm = Counter()
+    for (key, _), (_, w) in want.items():
+        norm[key] += w * w
+    for piece, rows in ((grams.PIECE, grams.ROWS), (50, 3)):
+        monkeypatch.setattr(grams, "PIECE", piece)
+        monkeypatch.setattr(grams, "ROWS", rows)
+        for docs in (df, words):
+            cells = model.weights(docs, "tweet_id")
+            got = {(r.tweet_id, r.term): (r.tf, r.weight) for r in cells.collect()}
+            assert got.keys() == want.keys() and cells.count() == len(got) > 20
+            assert all(got[c] == (tf, pytest.approx(w / norm[c[0]] ** 0.5)) for c, (tf, w) in want.items())
+            plan = cells._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and "Generate" not in plan
+
+
 def test_term_counts(spark):
     docs = documents()
     df = tfidf.with_ngrams(frame(spark, docs), "content_norm", 1, 2)
