@@ -176,6 +176,20 @@ def test_term_counts(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("ngrams", [(1, 1), (1, 2), (2, 3)])
+def test_terms_of_words_are_counted_batch_by_batch(spark, monkeypatch, ngrams):
+    df = frame(spark, [*ODD, *documents(40, seed=9)])
+    arrays = tfidf.term_counts(tfidf.with_ngrams(df, "content_norm", *ngrams), "tweet_id", "_terms")
+    want = sorted(tuple(r) for r in arrays.collect())
+    for piece, rows in ((grams.PIECE, grams.ROWS), (50, 3)):
+        monkeypatch.setattr(grams, "PIECE", piece)
+        monkeypatch.setattr(grams, "ROWS", rows)
+        got = tfidf.term_counts(tfidf.worded(df, "content_norm"), "tweet_id", "_words", ngrams)
+        assert got.columns == arrays.columns and sorted(tuple(r) for r in got.collect()) == want
+    nothing = tfidf.worded(frame(spark, ["", "a"]), "content_norm")
+    assert not tfidf.term_counts(nothing, "tweet_id", "_words", ngrams).collect()
+
+
 def test_scoring_does_not_shuffle(spark):
     df = frame(spark, documents())
     plan = tfidf.fit_tfidf(df).strength(df)._jdf.queryExecution().executedPlan().toString()
