@@ -196,6 +196,17 @@ def test_scoring_does_not_shuffle(spark):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_frozen_model_scores_batches_of_words(spark):
+    df = scored_posts(spark, documents(60, seed=4))
+    model = scoring.fit_signal_model(df)
+    by_row = scoring.with_signal(scoring.with_features(df, model.tfidf, ["aa", "bb"], ["cc"]), model.max_strength)
+    got = scoring.score_with_model(df, model, ["aa", "bb"], ["cc"])
+    assert got.columns == by_row.columns and sorted(got.collect()) == sorted(by_row.collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "regexp_extract_all" not in plan and "ArrowEvalPython" in plan
+    assert model.max_strength == by_row.agg(F.max("tfidf_strength")).first()[0]
+
+
 def test_no_vocabulary(spark):
     df = frame(spark, ["aa", "bb"])
     model = tfidf.fit_tfidf(df)
