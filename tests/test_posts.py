@@ -80,6 +80,17 @@ def test_new_posts(spark):
     assert dedupe.new_posts(raw(spark, rows), stored.limit(0)).count() == 2
 
 
+def test_new_posts_are_ranked_without_their_texts(spark):
+    rows = [post(str(i % 7), None, f"t{i:02d}", scraped_at=f"{i // 14}") for i in range(42)]
+    df = raw(spark, rows)
+    got = dedupe.new_posts(df, df.where("tweet_id = '3'"))
+    # Two posts of each id share the first time; whole posts are compared of those.
+    assert sorted((r.tweet_id, r.content) for r in got.collect()) == [(str(i), f"t{i:02d}") for i in range(7) if i != 3]
+    plain = dedupe.new_posts(df.where("content < 't02'"), df.limit(0))
+    plan = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert plain.count() == 2 and "Window [" not in plan
+
+
 def times(spark, hours_ago, as_of):
     rows = [(str(i), as_of - timedelta(hours=h)) for i, h in enumerate(hours_ago)]
     return spark.createDataFrame(rows, "tweet_id string, timestamp timestamp")
