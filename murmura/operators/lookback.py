@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from murmura.defaults import LOOKBACK_HOURS, TARGET_POSTS
 from murmura.functions.fields import parse_timestamp
 from murmura.operators.dedupe import keep_first, total_order
+from murmura.storage import BROADCAST_ROWS
 
 HOUR_MICROS = 3_600_000_000
 
@@ -60,8 +61,15 @@ def reaching_window(posts: DataFrame, as_of, hours: Sequence[int], target: int)
 
 
 def take_target(posts: DataFrame, n: int = TARGET_POSTS) -> DataFrame:
-    """The first n distinct posts in the order they were collected."""
-    return keep_first(posts, "tweet_id", total_order(posts, ["scraped_at"])).orderBy("scraped_at", "tweet_id").limit(n)
+    """The first n distinct posts in the order they were collected.
+
+    Which they are is found from ids and times alone; whole posts are read again, only of those n ids.
+    """
+    seen = posts.groupBy("tweet_id").agg(F.min("scraped_at").alias("scraped_at"))
+    chosen = seen.orderBy("scraped_at", "tweet_id").limit(n).select(F.col("tweet_id").alias("_id"), F.col("scraped_at").alias("_at"))
+    same = F.col("tweet_id").eqNullSafe(F.col("_id")) & F.col("scraped_at").eqNullSafe(F.col("_at"))
+    first = posts.join(F.broadcast(chosen) if n <= BROADCAST_ROWS else chosen, same, "left_semi")
+    return keep_first(first, "tweet_id", total_order(posts, ["scraped_at"])).orderBy("scraped_at", "tweet_id").limit(n)
 
 
 def latest(posts: DataFrame, n: int) -> DataFrame:

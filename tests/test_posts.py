@@ -120,6 +120,14 @@ def test_take_target(spark):
     assert [(r.tweet_id, r.content) for r in lookback.take_target(raw(spark, rows), 3).collect()] == [("0", "0"), ("1", "1"), ("2", "2")]
 
 
+def test_target_is_found_without_texts(spark):
+    rows = [post(str(i % 5), None, f"{9 - i % 10}-{i:02d}", scraped_at=f"{i // 10}") for i in range(20)] + [post(None, None, "n", scraped_at="0")]
+    got = lookback.take_target(raw(spark, rows), 3)
+    assert [(r.tweet_id, r.content) for r in got.collect()] == [(None, "n"), ("0", "4-05"), ("1", "3-06")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("LeftSemi") < plan.index("Aggregate")
+
+
 def test_extraction(spark):
     row = ("https://e.org/a/status/9/", "2026-01-01T00:00:00Z", "N\n@a", "hi #X #y @b", "1", "2K", "", None, "mixed", "s")
     names = [f.split()[0] for f in CAPTURE.replace("\n", " ").split(",")]
