@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from murmura.storage import broadcast_if_small, delete
+from murmura.storage import broadcast_if_small, delete, releasing
 
 VERSIONS = "seq bigint, version string, part string, run string, upto bigint"
 
@@ -25,13 +25,14 @@ class BatchTable:
 
     ``folders`` are the columns a table is partitioned by. With ``part``, the first of them, each of its
     values is gathered by itself, such as a date that is closed. A ``run`` names one checkpoint, whose
-    batch numbers grow; see `murmura.streaming.sinks.checkpoint_id`.
+    batch numbers grow; see `murmura.streaming.sinks.checkpoint_id`. Columns that are ``derived`` from others are stored, but
+    made anew where files are written, so that they aren't shuffled.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, folders: tuple[str, ...] = (), part: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, folders: tuple[str, ...] = (), part: str | None = None, derived: dict[str, Column] | None = None):
         if part is not None and folders[:1] != (part,):
             raise ValueError("what is gathered by itself must be the first folder")
-        self.spark, self.path, self.folders, self.part = spark, path.rstrip("/"), folders, part
+        self.spark, self.path, self.folders, self.part, self.derived = spark, path.rstrip("/"), folders, part, derived or {}
         self.schema = spark.createDataFrame([], schema).schema
         self._open = T.StructType([*self.schema, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
         self._gathered = T.StructType([*self.schema, T.StructField("version", T.StringType())])
@@ -44,8 +45,8 @@ class BatchTable:
         return F.col(self.part).cast("string") if self.part else F.lit("")
 
     def _balanced(self, rows: DataFrame) -> DataFrame:
-        """The rows of a folder in one task, unless they are too many for one."""
-        return rows.hint("rebalance", *self.folders)
+        """The rows of a folder in one task, unless they are too many for one; derived columns are made there."""
+        return rows.drop(*self.derived).hint("rebalance", *self.folders).withColumns(self.derived).select(*rows.columns)
 
     def put(self, rows: DataFrame, run: str, batch: int) -> None:
         """Store a batch, or replace it. Files follow the folders: one in each, unless it is large."""
@@ -54,9 +55,10 @@ class BatchTable:
         own = self._balanced(rows.select(*self.schema.names)).withColumns(
             {"run": F.lit(run), "batch": F.lit(batch).cast("bigint")}
         )
-        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(
-            *self.folders, "run", "batch"
-        ).parquet(f"{self.path}/open")
+        with releasing(own):
+            own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(
+                *self.folders, "run", "batch"
+            ).parquet(f"{self.path}/open")
 
     def _read_open(self) -> DataFrame:
         return self.spark.read.schema(self._open).parquet(f"{self.path}/open")
@@ -103,7 +105,8 @@ class BatchTable:
         version, whole = uuid.uuid4().hex, self.read(without=below)
         chosen = whole if where is None else whole.where(where)
         made = self._balanced(reduce(chosen).select(*self.schema.names)).withColumn("version", F.lit(version))
-        made.write.mode("append").option("compression", "zstd").partitionBy("version", *self.folders).parquet(f"{self.path}/gathered")
+        with releasing(made):
+            made.write.mode("append").option("compression", "zstd").partitionBy("version", *self.folders).parquet(f"{self.path}/gathered")
         back = self.spark.read.schema(self._gathered).parquet(f"{self.path}/gathered").where(F.col("version") == version)
         parts = back.select(self._part().alias("part")).distinct()
         seq = self.spark.read.schema(VERSIONS).parquet(f"{self.path}/versions").agg(F.max("seq")).first()[0]

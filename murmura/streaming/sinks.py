@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from murmura.defaults import TARGET_POSTS
-from murmura.operators.dedupe import dedupe_by_content, dedupe_by_id, new_posts
+from murmura.functions.text import folded
+from murmura.operators.dedupe import dedupe_by_content, dedupe_by_id, new_posts, release
 from murmura.operators.extract import extract_posts
 from murmura.operators.lookback import take_target
 from murmura.schemas import CAPTURE
@@ -53,23 +54,37 @@ class LatestPosts:
 
     Batches are added as they come, reduced to one row an id, and the latest is found when the table is
     read or gathered: the same whatever the order and the cut of the batches. Texts are compared only then,
-    since a later version of one post may set free the text of another.
+    since a later version of one post may set free the text of another. The folded text of clean posts, as wide as
+    the text, is not stored but derived when they are read; what is stored on the way goes with each batch.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema, gather_every: int = GATHER_EVERY):
-        self.table, self.gather_every = BatchTable(spark, path, schema), gather_every
+        empty = spark.createDataFrame([], schema)
+        self.columns, self.derived = empty.columns, folded(empty.columns)
+        self.table, self.gather_every = BatchTable(spark, path, empty.drop(*self.derived).schema), gather_every
 
     def __call__(self, posts: DataFrame, run: str, batch: int) -> None:
+        made: list[DataFrame] = []
+
+        def latest(rows: DataFrame) -> DataFrame:
+            made.append(dedupe_by_id(rows))
+            return made[-1]
+
         if batch and batch % self.gather_every == 0:
-            self.table.gather(reduce=dedupe_by_id, below=(run, batch))
-        self.table.put(dedupe_by_id(posts), run, batch)
+            self.table.gather(reduce=latest, below=(run, batch))
+        self.table.put(latest(posts.drop(*self.derived)), run, batch)
+        for rows in made:
+            release(rows)
+
+    def _whole(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns(self.derived).select(*self.columns)
 
     def by_id(self) -> DataFrame:
-        return dedupe_by_id(self.table.read())
+        return self._whole(dedupe_by_id(self.table.read()))
 
     def posts(self) -> DataFrame:
         """Also only the latest post of each text, as `clean_and_dedupe` keeps."""
-        return dedupe_by_content(self.by_id())
+        return self._whole(dedupe_by_content(dedupe_by_id(self.table.read())))
 
 
 # --- keep-first: arriving elements to stored raw posts, up to a target

@@ -1,5 +1,6 @@
 """Streams that store each batch once, over restarts, copies, late posts and gathered files."""
 
+import glob
 import json
 import os
 from datetime import datetime
@@ -14,6 +15,7 @@ from murmura.plans.ingest import ingest_posts
 from murmura.schemas import CAPTURE
 from murmura.sources.batches import BatchTable
 from murmura.sources.raw import append_raw, read_raw
+from murmura.storage import scratch_folder
 from murmura.streaming import posts as streaming
 from murmura.streaming import sinks
 
@@ -91,6 +93,18 @@ def test_partitioned_sink_has_few_files(spark, tmp_path):
     assert sink.posts().where("date = '2024-01-01' and tweet_id = 'late'").count() == old.count()
 
 
+def test_latest_posts_leave_no_copies(spark, tmp_path):
+    valid = drop_invalid(clean_rows(raw(spark, SF)))
+    sink = sinks.LatestPosts(spark, str(tmp_path / "latest"), valid.schema, gather_every=1)
+    copies = lambda: set(glob.glob(scratch_folder(spark).removeprefix("file:").rstrip("/") + "/posts-*"))
+    before = copies()
+    for number in range(3):
+        sink(valid.where(F.col("likes") % 3 == number), "run", number)
+    assert copies() == before
+    assert "content_norm" not in spark.read.parquet(str(tmp_path / "latest" / "open")).columns
+    assert sink.by_id().columns == valid.columns and rows(sink.posts()) == rows(clean_and_dedupe(raw(spark, SF)))
+
+
 def test_latest_posts_in_any_cut(spark, tmp_path):
     whole = raw(spark, SF)
     landing, mark = str(tmp_path / "landing"), str(tmp_path / "mark")
