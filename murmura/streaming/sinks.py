@@ -175,7 +175,7 @@ class PartitionedPosts:
     def __init__(self, spark: SparkSession, path: str, schema):
         folders = ("date", "hashtag")
         own = with_partitions(spark.createDataFrame([], schema)).schema
-        self.table = BatchTable(spark, path, own, folders, part="date")
+        self.table = BatchTable(spark, path, own, folders, part="date", derived=folded(own.names))
 
     def __call__(self, posts: DataFrame, run: str, batch: int) -> None:
         self.table.put(with_partitions(posts), run, batch)

@@ -93,6 +93,17 @@ def test_partitioned_sink_has_few_files(spark, tmp_path):
     assert sink.posts().where("date = '2024-01-01' and tweet_id = 'late'").count() == old.count()
 
 
+def test_dated_batches_shuffle_no_folded_text(spark, tmp_path, monkeypatch):
+    valid = drop_invalid(clean_rows(raw(spark, SF)))
+    sink = sinks.PartitionedPosts(spark, str(tmp_path / "p"), valid.schema)
+    shuffled, hint = [], type(valid).hint
+    monkeypatch.setattr(type(valid), "hint", lambda df, name, *by: (name == "rebalance" and shuffled.append(df.columns)) or hint(df, name, *by))
+    sink(valid, "run", 0)
+    sink.close("2024-01-10")
+    assert len(shuffled) == 2 and all("content" in c and "content_norm" not in c for c in shuffled)
+    assert rows(sink.posts().select(valid.columns)) == rows(valid)
+
+
 def test_latest_posts_leave_no_copies(spark, tmp_path):
     valid = drop_invalid(clean_rows(raw(spark, SF)))
     sink = sinks.LatestPosts(spark, str(tmp_path / "latest"), valid.schema, gather_every=1)
