@@ -15,6 +15,7 @@ from murmura.plans.ingest import ingest_posts
 from murmura.schemas import CAPTURE
 from murmura.sources.batches import BatchTable
 from murmura.sources.raw import append_raw, read_raw
+from murmura.sources.tables import write_partitioned
 from murmura.storage import scratch_folder
 from murmura.streaming import posts as streaming
 from murmura.streaming import sinks
@@ -104,6 +105,15 @@ def test_dated_batches_shuffle_no_folded_text(spark, tmp_path, monkeypatch):
     assert rows(sink.posts().select(valid.columns)) == rows(valid)
 
 
+def test_partitioned_posts_shuffle_no_folded_text(spark, tmp_path, monkeypatch):
+    valid = drop_invalid(clean_rows(raw(spark, SF)))
+    shuffled, hint = [], type(valid).hint
+    monkeypatch.setattr(type(valid), "hint", lambda df, name, *by: (name == "rebalance" and shuffled.append(df.columns)) or hint(df, name, *by))
+    write_partitioned(valid, str(tmp_path / "p"))
+    assert len(shuffled) == 1 and "content" in shuffled[0] and "content_norm" not in shuffled[0]
+    assert rows(spark.read.parquet(str(tmp_path / "p")).select(valid.columns)) == rows(valid)
+
+
 def test_latest_posts_leave_no_copies(spark, tmp_path):
     valid = drop_invalid(clean_rows(raw(spark, SF)))
     sink = sinks.LatestPosts(spark, str(tmp_path / "latest"), valid.schema, gather_every=1)
