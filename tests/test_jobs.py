@@ -177,7 +177,7 @@ def test_stream_hourly_append(spark, tmp_path):
     assert datetime(2024, 1, 26) < newest < datetime(2024, 1, 28)
 
 
-@pytest.mark.parametrize("key", ["append_raw_jsonl"])
+@pytest.mark.parametrize("key", ["read_raw_jsonl", "append_raw_jsonl"])
 def test_raw_files_are_packed(spark, key):
     found = QUERIES[key](spark, SF)
     assert found.count() == 1000 and all(f.endswith(".json.gz") for f in found.inputFiles())
